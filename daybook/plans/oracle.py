@@ -86,9 +86,23 @@ padded AS (
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
             first_value(qty IGNORE NULLS) OVER (PARTITION BY item_number, year_month ORDER BY d
                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS DOUBLE) AS daily_bottles_sold,
-         CAST(total AS DOUBLE) / pack_size                             AS total_packs_sold
+         CAST(total AS DOUBLE) / pack_size                             AS total_packs_sold,
+         item_number AS src_item, year_month AS src_ym, total
   FROM joined)"""
 
+PADDED_COLS = (
+    "item_description, item_id, year, month, last_valid_day, volume_ml, pack_size, cost, retail, "
+    "day, valid_day, cumu_bottles_sold, daily_bottles_sold, total_packs_sold"
+)
+
+CODED = """
+coded AS (
+  SELECT *, (CAST(item_number AS BIGINT) * 37 + CAST(substr(year_month, 1, 4) AS BIGINT)
+             + CAST(substr(year_month, 6, 2) AS BIGINT)) % 97 AS r
+  FROM monthly)"""
+
+TWICE = "(SELECT 1 AS k UNION ALL SELECT 2 AS k) dup"
+
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"

@@ -13,9 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
+from daybook import spec
+from daybook.operators import quality
+from daybook.operators.mapping import map_and_quarantine
 from daybook.operators.rollup import MEASURES, daily_item_sales, raw_samples
 from daybook.operators.sequences import explode_days, good_rows, prepare_samples
+from daybook.plans import faults
 from daybook.plans import oracle as O
+from daybook.session import work_path
+from daybook.sources.ndjson import parse_lines, read_lines
 from daybook.sources.sales import date_window, lineitem_sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,7 +117,7 @@ def q_window_sequences(spark, sf_dir):
 # -- PRJ-3/4, SEQ-1..11 -------------------------------------------------------
 
 
-@register("padded_sequences", O.FULL + "SELECT * FROM padded")
+@register("padded_sequences", O.FULL + f"SELECT {O.PADDED_COLS} FROM padded")
 def q_padded_sequences(spark, sf_dir):
     return explode_days(prepared(spark, sf_dir))
 
@@ -156,3 +164,185 @@ _padded_view("ffill_bfill", ["day", "valid_day", "daily_bottles_sold", "cumu_bot
 @register("last_valid_day", O.FULL + "SELECT DISTINCT item_id, year, month, last_valid_day FROM padded")
 def q_last_valid_day(spark, sf_dir):
     return prepared(spark, sf_dir).select(*KEYS, "last_valid_day")
+
+
+# -- SRC-2/3, UDF-1, FLT-2, AGG-8, VAL-1..4 -----------------------------------
+
+_LINES_CACHE: dict[tuple[str, str], str] = {}
+
+
+def ndjson_path(spark: SparkSession, sf_dir: str) -> str:
+    """Write the fault-injected JSON lines (derived from lineitem) once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LINES_CACHE:
+        path = work_path(spark, "ndjson")
+        faults.json_lines(raw_samples(sales(spark, sf_dir))).write.mode("overwrite").text(path)
+        _LINES_CACHE[key] = path
+    return _LINES_CACHE[key]
+
+
+def json_pipeline(spark: SparkSession, sf_dir: str):
+    """Text scan -> parse (stage 'parse') -> prepare (stage 'prepare')."""
+    lines = read_lines(spark, ndjson_path(spark, sf_dir))
+    elements, marked = parse_lines(lines)
+    prepared_json = prepare_samples(elements, keep=["line", "v"])
+    return marked, prepared_json
+
+
+def _codes_case(stage_or_class: int) -> str:
+    whens = " ".join(f"WHEN {code} THEN '{exp[stage_or_class]}'" for code, exp in sorted(faults.EXPECTED.items()))
+    return f"CASE r {whens} END"
+
+
+_FAILING = ", ".join(str(c) for c in sorted(faults.EXPECTED))
+_PREPARE_FAILING = ", ".join(str(c) for c, e in sorted(faults.EXPECTED.items()) if e[0] == "prepare")
+_CODED = O.with_ctes(O.SALES, O.daily_cte(), O.MONTHLY, O.PADDED.strip().rstrip(","), O.CODED)
+
+
+@register(
+    "ndjson_parse",
+    _CODED
+    + f"""
+SELECT p.item_description, p.item_id, p.year, p.month, p.last_valid_day, p.volume_ml,
+       CASE WHEN c.r = {faults.ZERO_PACK} THEN 0.0 ELSE p.pack_size END AS pack_size,
+       p.cost, p.retail, p.day, p.valid_day, p.cumu_bottles_sold, p.daily_bottles_sold,
+       CASE WHEN c.r = {faults.ZERO_PACK} THEN (CASE WHEN p.total > 0 THEN 'inf'::DOUBLE
+                                             WHEN p.total < 0 THEN '-inf'::DOUBLE ELSE 'nan'::DOUBLE END)
+            ELSE p.total_packs_sold END AS total_packs_sold
+FROM padded p JOIN coded c ON p.src_item = c.item_number AND p.src_ym = c.year_month
+CROSS JOIN {O.TWICE}
+WHERE c.r NOT IN ({_FAILING}) AND (dup.k = 1 OR c.r = {faults.LIST_LINE})""",
+)
+def q_ndjson_parse(spark, sf_dir):
+    _, prepared_json = json_pipeline(spark, sf_dir)
+    return explode_days(good_rows(prepared_json))
+
+
+@register(
+    "ndjson_quarantine",
+    _CODED
+    + f"""
+SELECT stage, error_class, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT {_codes_case(0)} AS stage, {_codes_case(1)} AS error_class FROM coded WHERE r IN ({_FAILING}))
+GROUP BY stage, error_class""",
+)
+def q_ndjson_quarantine(spark, sf_dir):
+    marked, prepared_json = json_pipeline(spark, sf_dir)
+    bad = quality.quarantine(marked, "parse", "line").unionByName(
+        quality.quarantine(prepared_json, "prepare", F.to_json("v"))
+    )
+    return bad.groupBy("stage", "error_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _count_sql() -> str:
+    def cnt(cond: str) -> str:
+        return f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT)"
+
+    parse_cls = ", ".join(
+        f"{cnt('r = 0') if name == 'ValueErrors' else 'CAST(0 AS BIGINT)'} AS {name}" for name in spec.ERROR_CLASSES
+    )
+    prep_cls = []
+    for name in spec.ERROR_CLASSES:
+        codes = [str(c) for c, e in faults.EXPECTED.items() if e == ("prepare", name)]
+        prep_cls.append(f"{cnt('r IN (' + ', '.join(codes) + ')') if codes else 'CAST(0 AS BIGINT)'} AS {name}")
+    return (
+        _CODED
+        + f"""
+SELECT 'parse' AS stage, CAST(count(*) AS BIGINT) AS n_elements, {cnt('r = 0')} AS failed_elements, {parse_cls}
+FROM coded
+UNION ALL
+SELECT 'prepare' AS stage, {cnt('r <> 0')} + {cnt(f'r = {faults.LIST_LINE}')} AS n_elements,
+       {cnt(f'r IN ({_PREPARE_FAILING})')} AS failed_elements, {', '.join(prep_cls)}
+FROM coded"""
+    )
+
+
+@register("error_counts", _count_sql())
+def q_error_counts(spark, sf_dir):
+    marked, prepared_json = json_pipeline(spark, sf_dir)
+    return quality.error_counts(marked, "parse").unionByName(quality.error_counts(prepared_json, "prepare"))
+
+
+def _json_fields(value):
+    import json
+
+    return json.loads(value)
+
+
+@register(
+    "map_and_quarantine",
+    _CODED
+    + f"""
+SELECT CASE WHEN r IN (0, 14, 15) THEN NULL WHEN r = 4 THEN 'x' || item_number ELSE item_number END AS item_number,
+       CASE WHEN r IN (0, 14, 15, 2) THEN NULL WHEN r = 3 THEN substr(year_month, 1, 4) ELSE year_month END AS year_month,
+       CASE WHEN r = 0 THEN 'ValueErrors' END AS error_class
+FROM coded CROSS JOIN {O.TWICE}
+WHERE dup.k = 1 OR r = {faults.LIST_LINE}""",
+)
+def q_map_and_quarantine(spark, sf_dir):
+    lines = read_lines(spark, ndjson_path(spark, sf_dir))
+    out_schema = T.StructType([T.StructField("item_number", T.StringType()), T.StructField("year_month", T.StringType())])
+    mapped = map_and_quarantine(lines, _json_fields, out_schema, ["value"])
+    return mapped.select("item_number", "year_month", "error_class")
+
+
+_TYPED_FAULTS = {2: "other_errors", 3: "ValueErrors", 4: "ValueErrors", 9: "other_errors", 10: "ValueErrors", 11: "AssertionErrors"}
+
+
+@register(
+    "prepared_quarantine",
+    _CODED
+    + f"""
+SELECT CASE WHEN r = 4 THEN 'x' || item_number ELSE item_number END AS item_number,
+       CASE WHEN r = 2 THEN NULL WHEN r = 3 THEN substr(year_month, 1, 4) ELSE year_month END AS year_month,
+       CASE r {' '.join(f"WHEN {c} THEN '{k}'" for c, k in _TYPED_FAULTS.items())} END AS error_class
+FROM coded WHERE r IN ({', '.join(str(c) for c in _TYPED_FAULTS)})""",
+)
+def q_prepared_quarantine(spark, sf_dir):
+    raw = raw_samples(sales(spark, sf_dir)).withColumn("_r", faults.fault_code(F.col("item_number"), F.col("year_month")))
+    r = F.col("_r")
+    faulty = raw.withColumns(
+        {
+            "item_number": F.when(r == 4, F.concat(F.lit("x"), "item_number")).otherwise(F.col("item_number")),
+            "year_month": F.when(r == 2, F.lit(None).cast("string"))
+            .when(r == 3, F.substring("year_month", 1, 4))
+            .otherwise(F.col("year_month")),
+            "dates_arr": F.when(r == 9, F.array().cast("array<date>"))
+            .when(r == 10, F.concat("dates_arr", F.array(F.get("dates_arr", 0))))
+            .otherwise(F.col("dates_arr")),
+            "daily_bottles_sold_arr": F.when(r == 9, F.array().cast("array<bigint>"))
+            .when(r == 10, F.concat("daily_bottles_sold_arr", F.array(F.get("daily_bottles_sold_arr", 0))))
+            .otherwise(F.col("daily_bottles_sold_arr")),
+            "item_description": F.when(r == 11, F.lit(None).cast("string")).otherwise(F.col("item_description")),
+        }
+    ).drop("_r")
+    marked = prepare_samples(faulty, keep=["item_number", "year_month"])
+    return marked.where(F.col("error_class").isNotNull()).select("item_number", "year_month", "error_class")
+
+
+@register(
+    "validate_examples",
+    _CODED
+    + """
+SELECT s.item_id, s.year, s.month,
+       CASE WHEN c.r IN (5, 9, 11) THEN 'AssertionErrors' END AS error_class,
+       CASE WHEN c.r = 11 THEN concat_ws('_', s.item_id, s.year, s.month) || ' is missing item_description'
+            WHEN c.r = 5 THEN concat_ws('_', s.item_id, s.year, s.month) || ' is missing pack_size'
+            WHEN c.r = 9 THEN concat_ws('_', s.item_id, s.year, s.month)
+                              || ': daily_bottles_sold shape (30,) but should be (31,)' END AS error_message
+FROM (SELECT DISTINCT item_id, year, month, src_item, src_ym FROM padded) s
+JOIN coded c ON s.src_item = c.item_number AND s.src_ym = c.year_month""",
+)
+def q_validate_examples(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    r = faults.fault_code(F.col("item_id"), F.concat_ws("-", F.col("year"), F.lpad((F.col("month") + 1).cast("string"), 2, "0")))
+    broken = p.withColumn("_r", r).withColumns(
+        {
+            "item_description": F.when(F.col("_r") == 11, F.lit(None).cast("string")).otherwise(F.col("item_description")),
+            "pack_size": F.when(F.col("_r") == 5, F.lit(None).cast("double")).otherwise(F.col("pack_size")),
+            "daily_bottles_sold": F.when(F.col("_r") == 9, F.slice("daily_bottles_sold", 1, 30)).otherwise(
+                F.col("daily_bottles_sold")
+            ),
+        }
+    )
+    return quality.validate_examples(broken.drop("_r")).select(*KEYS, "error_class", "error_message")
