@@ -24,9 +24,9 @@ sales AS (
   FROM lineitem)"""
 
 
-def daily_cte(where: str = "") -> str:
+def daily_cte(where: str = "", name: str = "daily") -> str:
     return f"""
-daily AS (
+{name} AS (
   SELECT item_number, date,
          strftime(date, '%Y-%m')                   AS year_month,
          min(item_description)                     AS item_description,
@@ -39,8 +39,9 @@ daily AS (
   GROUP BY item_number, date)"""
 
 
-MONTHLY = """
-monthly AS (
+def monthly_cte(src: str = "daily", name: str = "monthly") -> str:
+    return f"""
+{name} AS (
   SELECT item_number, year_month,
          min(item_description)           AS item_description,
          arg_min(cost, date)             AS cost,
@@ -49,9 +50,27 @@ monthly AS (
          arg_min(pack_size, date)        AS pack_size,
          max(date)                       AS last_date,
          CAST(sum(daily_bottles_sold) AS BIGINT) AS total
-  FROM daily
+  FROM {src}
   GROUP BY item_number, year_month)"""
 
+
+MONTHLY = monthly_cte()
+
+STATS = """
+stats AS (
+  SELECT min(volume_ml) FILTER (WHERE NOT isnan(volume_ml)) AS volume_ml_min,
+         max(volume_ml) FILTER (WHERE NOT isnan(volume_ml)) AS volume_ml_max,
+         min(pack_size) FILTER (WHERE NOT isnan(pack_size)) AS pack_size_min,
+         max(pack_size) FILTER (WHERE NOT isnan(pack_size)) AS pack_size_max
+  FROM full_monthly)"""
+
+
+def scaled_sql(col: str) -> str:
+    return (
+        f"CASE WHEN stats.{col}_max = stats.{col}_min THEN 0.5 "
+        f"ELSE ({col} - stats.{col}_min) / (stats.{col}_max - stats.{col}_min) END"
+    )
+
 PADDED = """
 real_days AS (
   SELECT item_number, year_month,
@@ -109,4 +128,9 @@ def with_ctes(*ctes: str) -> str:
 
 
 FULL = with_ctes(SALES, daily_cte(), MONTHLY, PADDED)
+# full-table statistics next to the (possibly windowed) padded layout
+FULL_STATS = with_ctes(SALES, daily_cte(name="full_daily"), monthly_cte("full_daily", "full_monthly"), STATS,
+                       daily_cte(), MONTHLY, PADDED)
+WINDOW_STATS = with_ctes(SALES, daily_cte(name="full_daily"), monthly_cte("full_daily", "full_monthly"), STATS,
+                         daily_cte(f"WHERE date BETWEEN DATE '{WINDOW_START}' AND DATE '{WINDOW_END}'"), MONTHLY, PADDED)
 WINDOW = with_ctes(SALES, daily_cte(f"WHERE date BETWEEN DATE '{WINDOW_START}' AND DATE '{WINDOW_END}'"), MONTHLY, PADDED)

@@ -18,6 +18,10 @@ from pyspark.sql import types as T
 from daybook import spec
 from daybook.operators import quality
 from daybook.operators.mapping import map_and_quarantine
+from daybook.operators.scaling import apply_minmax, fit_minmax, stats_frame
+from daybook.operators.split import mark_split
+from daybook.plans.train import run_train
+from daybook.sources import examples
 from daybook.operators.rollup import MEASURES, daily_item_sales, raw_samples
 from daybook.operators.sequences import explode_days, good_rows, prepare_samples
 from daybook.plans import faults
@@ -346,3 +350,90 @@ def q_validate_examples(spark, sf_dir):
         }
     )
     return quality.validate_examples(broken.drop("_r")).select(*KEYS, "error_class", "error_message")
+
+
+# -- AGG-7, SCL-1..4, PRJ-5, SPL-1, SNK-1/3, SRC-4/5 ----------------------------
+
+_SCALARS = ["item_description", "last_valid_day", "cost", "retail"]
+
+
+@register("minmax_stats", O.FULL_STATS + "SELECT * FROM stats")
+def q_minmax_stats(spark, sf_dir):
+    return stats_frame(prepared(spark, sf_dir))
+
+
+@register(
+    "minmax_scaled",
+    O.FULL_STATS
+    + f"""
+SELECT DISTINCT item_id, year, month, {', '.join(_SCALARS)},
+       {O.scaled_sql('volume_ml')} AS volume_ml, {O.scaled_sql('pack_size')} AS pack_size
+FROM padded CROSS JOIN stats""",
+)
+def q_minmax_scaled(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    return apply_minmax(p, fit_minmax(p)).select(*KEYS, *_SCALARS, "volume_ml", "pack_size")
+
+
+@register(
+    "train_test_split",
+    O.FULL
+    + f"""
+SELECT DISTINCT item_id, year, month,
+       CASE WHEN make_date(CAST(year AS INTEGER), CAST(month + 1 AS INTEGER), 1) >= DATE '{O.SPLIT_DATE}'
+            THEN 'test' ELSE 'train' END AS split
+FROM padded""",
+)
+def q_train_test_split(spark, sf_dir):
+    return mark_split(prepared(spark, sf_dir), O.SPLIT_DATE).select(*KEYS, "split")
+
+
+_ROUNDTRIP_SQL = (
+    O.FULL_STATS
+    + f"""
+SELECT CASE WHEN make_date(CAST(year AS INTEGER), CAST(month + 1 AS INTEGER), 1) >= DATE '{O.SPLIT_DATE}'
+            THEN 'test' ELSE 'train' END AS split,
+       item_description, item_id, year, month, last_valid_day,
+       CAST(CAST({O.scaled_sql('volume_ml')} AS FLOAT) AS DOUBLE) AS volume_ml,
+       CAST(CAST({O.scaled_sql('pack_size')} AS FLOAT) AS DOUBLE) AS pack_size,
+       CAST(CAST(cost AS FLOAT) AS DOUBLE) AS cost, CAST(CAST(retail AS FLOAT) AS DOUBLE) AS retail,
+       day, valid_day,
+       CAST(CAST(cumu_bottles_sold AS FLOAT) AS DOUBLE) AS cumu_bottles_sold,
+       CAST(CAST(daily_bottles_sold AS FLOAT) AS DOUBLE) AS daily_bottles_sold,
+       CAST(CAST(total_packs_sold AS FLOAT) AS DOUBLE) AS total_packs_sold
+FROM padded CROSS JOIN stats"""
+)
+
+
+def _roundtrip(spark, sf_dir, fmt):
+    dataset = work_path(spark, f"dataset-{fmt}")
+    run_train(spark, sales(spark, sf_dir), dataset, O.SPLIT_DATE, fmt=fmt)
+    parts = [
+        examples.read_examples(spark, dataset, s, fmt).withColumn("split", F.lit(s))
+        for s in (spec.TRAIN_PREFIX, spec.TEST_PREFIX)
+    ]
+    back = explode_days(parts[0].unionByName(parts[1]))
+    floats = [f.name for f in spec.FEATURES if f.kind == "float"]
+    return back.withColumns({c: F.col(c).cast("double") for c in floats})
+
+
+@register("example_roundtrip", _ROUNDTRIP_SQL)
+def q_example_roundtrip(spark, sf_dir):
+    """Full train job (gzip JSON shards), then read every shard back."""
+    return _roundtrip(spark, sf_dir, "json")
+
+
+@register(
+    "scaler_reload",
+    O.WINDOW_STATS
+    + f"""
+SELECT DISTINCT item_id, year, month,
+       {O.scaled_sql('volume_ml')} AS volume_ml, {O.scaled_sql('pack_size')} AS pack_size
+FROM padded CROSS JOIN stats""",
+)
+def q_scaler_reload(spark, sf_dir):
+    """Fit on the whole table, save, reload, apply to the prediction window."""
+    dataset = work_path(spark, "transform")
+    examples.save_minmax(spark, dataset, fit_minmax(prepared(spark, sf_dir)))
+    reloaded = examples.load_minmax(spark, dataset)
+    return apply_minmax(window_prepared(spark, sf_dir), reloaded).select(*KEYS, "volume_ml", "pack_size")

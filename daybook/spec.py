@@ -42,11 +42,11 @@ class Feature:
 
     def compute_type(self) -> T.DataType:
         base = {"string": T.StringType(), "int": T.LongType(), "float": T.DoubleType()}[self.kind]
-        return base if self.length is None else T.ArrayType(base, False)
+        return base if self.length is None else T.ArrayType(base, True)
 
     def export_type(self) -> T.DataType:
         base = {"string": T.StringType(), "int": T.LongType(), "float": T.FloatType()}[self.kind]
-        return base if self.length is None else T.ArrayType(base, False)
+        return base if self.length is None else T.ArrayType(base, True)
 
 
 FEATURES: list[Feature] = (
