@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import spec
-from daybook.operators import quality
+from daybook.operators import layout, quality
 from daybook.operators.mapping import map_and_quarantine
 from daybook.operators.scaling import apply_minmax, fit_minmax, stats_frame
 from daybook.operators.split import mark_split
@@ -437,3 +437,101 @@ def q_scaler_reload(spark, sf_dir):
     examples.save_minmax(spark, dataset, fit_minmax(prepared(spark, sf_dir)))
     reloaded = examples.load_minmax(spark, dataset)
     return apply_minmax(window_prepared(spark, sf_dir), reloaded).select(*KEYS, "volume_ml", "pack_size")
+
+
+# -- PRJ-6/7, SEQ-12..14, SRT-2/3 ---------------------------------------------
+
+_LAYOUT_COLS = ["valid_day", *spec.MODEL_TILED_FEATURES, *spec.MODEL_SEQUENCE_FEATURES]
+
+
+@register(
+    "model_layout",
+    O.FULL
+    + f"""
+SELECT year, day AS step, CAST(1 AS INTEGER) AS feature_width, {', '.join(_LAYOUT_COLS)} FROM padded""",
+)
+def q_model_layout(spark, sf_dir):
+    lay = layout.model_layout(prepared(spark, sf_dir))
+    z = F.arrays_zip(*[F.col(c) for c in _LAYOUT_COLS])
+    nested = [c for c in _LAYOUT_COLS if c != "valid_day"]
+    rows = F.transform(
+        z,
+        lambda e, i: F.struct(
+            i.cast("bigint").alias("step"),
+            F.size(e["cost"]).alias("feature_width"),
+            e["valid_day"].alias("valid_day"),
+            *[F.get(e[c], 0).alias(c) for c in nested],
+        ),
+    )
+    return lay.select("year", F.inline(rows))
+
+
+@register("feature_target_split", O.FULL + "SELECT item_id, year, month, day, total_packs_sold AS label FROM padded")
+def q_feature_target_split(spark, sf_dir):
+    split = layout.feature_target_split(prepared(spark, sf_dir))
+    return split.select(
+        "features.item_id", "features.year", "features.month", F.posexplode("label").alias("day", "label")
+    ).withColumn("day", F.col("day").cast("bigint"))
+
+
+@register(
+    "step_matrix",
+    O.FULL
+    + "SELECT item_id, year, month, day AS step, "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS step_{c}" for c in layout.STEP_FEATURES)
+    + " FROM padded",
+)
+def q_step_matrix(spark, sf_dir):
+    m = layout.step_matrix(prepared(spark, sf_dir))
+    rows = F.transform(
+        "steps",
+        lambda r, i: F.struct(
+            i.cast("bigint").alias("step"),
+            *[F.get(r, k).alias(f"step_{c}") for k, c in enumerate(layout.STEP_FEATURES)],
+        ),
+    )
+    return m.select(*KEYS, F.inline(rows))
+
+
+def _shuffle_sql(seed: int = 42) -> str:
+    x = "CAST(0 AS BIGINT)"
+    for k in KEYS:
+        x = f"(({x}) * 1000003 + {k}) % {layout.HASH_P}"
+    x = f"(({x}) + {seed}) % {layout.HASH_P}"
+    for _ in range(3):
+        x = f"(({x}) * {layout.HASH_M}) % {layout.HASH_P}"
+    return x
+
+
+@register(
+    "seeded_shuffle",
+    O.FULL + f"SELECT item_id, year, month, {_shuffle_sql()} AS shuffle_key FROM (SELECT DISTINCT item_id, year, month FROM padded)",
+)
+def q_seeded_shuffle(spark, sf_dir):
+    return layout.seeded_shuffle(prepared(spark, sf_dir).select(*KEYS))
+
+
+BATCH_SIZE = 32
+
+
+@register(
+    "batch_ids",
+    O.FULL
+    + f"""
+, train AS (
+  SELECT DISTINCT item_id, year, month FROM padded
+  WHERE make_date(CAST(year AS INTEGER), CAST(month + 1 AS INTEGER), 1) < DATE '{O.SPLIT_DATE}'),
+ordered AS (
+  SELECT item_id, year, month, {_shuffle_sql()} AS shuffle_key FROM train),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY shuffle_key, item_id, year, month) - 1 AS position FROM ordered)
+SELECT item_id, year, month, shuffle_key, CAST(position AS BIGINT) AS position,
+       CAST(position // {BATCH_SIZE} AS BIGINT) AS batch_id
+FROM numbered
+WHERE position // {BATCH_SIZE} < (SELECT count(*) // {BATCH_SIZE} FROM train)""",
+)
+def q_batch_ids(spark, sf_dir):
+    train = mark_split(prepared(spark, sf_dir), O.SPLIT_DATE).where(F.col("split") == spec.TRAIN_PREFIX)
+    return layout.assign_batches(train.select(*KEYS), BATCH_SIZE).select(
+        *KEYS, "shuffle_key", F.col("position").cast("bigint"), "batch_id"
+    )
