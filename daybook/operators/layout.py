@@ -45,14 +45,17 @@ def feature_target_split(df: DataFrame, target: str = spec.TARGET) -> DataFrame:
     return df.select(F.struct(*feats).alias("features"), F.col(target).alias("label"))
 
 
-def step_matrix(df: DataFrame, features: list[str] | None = None, name: str = "steps") -> DataFrame:
+def step_matrix(
+    df: DataFrame, features: list[str] | None = None, name: str = "steps", keep: list[str] | None = None
+) -> DataFrame:
     """SEQ-14: per example a (31, F) matrix, scalars repeated on every step."""
     features = features or STEP_FEATURES
     seq = set(spec.SEQUENCE_FEATURES)
     row = lambda i: F.array(
         *[(F.get(F.col(c), i) if c in seq else F.col(c)).cast("double") for c in features]
     )
-    return df.select(*KEYS, F.transform(F.sequence(F.lit(0), F.lit(spec.SEQ_LEN - 1)), row).alias(name))
+    steps = F.transform(F.sequence(F.lit(0), F.lit(spec.SEQ_LEN - 1)), row)
+    return df.select(*KEYS, *(keep or []), steps.alias(name))
 
 
 def shuffle_key(seed: int = 42, keys: list[str] | None = None) -> Column:

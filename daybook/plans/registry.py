@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import spec
-from daybook.operators import layout, quality
+from daybook.operators import layout, quality, scoring, training
 from daybook.operators.mapping import map_and_quarantine
 from daybook.operators.scaling import apply_minmax, fit_minmax, stats_frame
 from daybook.operators.split import mark_split
@@ -25,6 +25,7 @@ from daybook.sources import examples
 from daybook.operators.rollup import MEASURES, daily_item_sales, raw_samples
 from daybook.operators.sequences import explode_days, good_rows, prepare_samples
 from daybook.plans import faults
+from daybook.plans import predict as predict_plan
 from daybook.plans import oracle as O
 from daybook.session import work_path
 from daybook.sources.ndjson import parse_lines, read_lines
@@ -535,3 +536,87 @@ def q_batch_ids(spark, sf_dir):
     return layout.assign_batches(train.select(*KEYS), BATCH_SIZE).select(
         *KEYS, "shuffle_key", F.col("position").cast("bigint"), "batch_id"
     )
+
+
+# -- MDL-1..3, PRD-1..4, PRJ-8/9, SNK-4 ---------------------------------------
+
+_MODEL_CACHE: dict[tuple[str, str], tuple[str, str, dict]] = {}
+
+
+def trained(spark: SparkSession, sf_dir: str) -> tuple[str, str, dict]:
+    """Train job + model fit once per session: (dataset dir, model dir, metrics)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODEL_CACHE:
+        dataset, model_dir = predict_plan.model_paths(work_path(spark, "model-run"))
+        run_train(spark, sales(spark, sf_dir), dataset, O.SPLIT_DATE)
+        fit = predict_plan.run_fit(spark, dataset, model_dir)
+        _MODEL_CACHE[key] = (dataset, model_dir, fit.metrics)
+    return _MODEL_CACHE[key]
+
+
+@register("train_eval")
+def q_train_eval(spark, sf_dir):
+    """Export, read back, train on train, save, evaluate on test: one metrics row."""
+    _, _, metrics = trained(spark, sf_dir)
+    return spark.createDataFrame([metrics], "n_rows bigint, mse double, mae double")
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    """Reload the saved model from disk and evaluate the test shards again."""
+    dataset, model_dir, _ = trained(spark, sf_dir)
+    test_ex = examples.read_examples(spark, dataset, spec.TEST_PREFIX)
+    return training.regression_metrics(training.load(model_dir), test_ex)
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    """Predict job on the window: saved scaler + saved model, one row per item."""
+    dataset, model_dir, _ = trained(spark, sf_dir)
+    preds, _ = predict_plan.run_predict(spark, sales(spark, sf_dir), dataset, model_dir, O.WINDOW_START, O.WINDOW_END)
+    return preds
+
+
+@register("score_append")
+def q_score_append(spark, sf_dir):
+    """Append the window's predictions twice to a new table and read it back."""
+    dataset, model_dir, _ = trained(spark, sf_dir)
+    table = work_path(spark, "predictions")
+    for _ in range(2):
+        predict_plan.run_predict(
+            spark, sales(spark, sf_dir), dataset, model_dir, O.WINDOW_START, O.WINDOW_END, out_path=table
+        )
+    return spark.read.schema(scoring.PREDICTION_SCHEMA).parquet(table)
+
+
+_PRED_DATE = "2000-07-16"
+
+
+@register(
+    "pick_prediction",
+    O.WINDOW
+    + f"""
+SELECT item_id, year, month, DATE '{_PRED_DATE}' AS pred_date, last_valid_day AS step,
+       cumu_bottles_sold, daily_bottles_sold
+FROM padded WHERE day = last_valid_day""",
+)
+def q_pick_prediction(spark, sf_dir):
+    """The scored step: the day after the last sale, inputs of that step only."""
+    inputs = scoring.step_inputs(window_prepared(spark, sf_dir), _PRED_DATE)
+    return quality.good(inputs, ["item_id", "year", "month", "pred_date", "step", "cumu_bottles_sold", "daily_bottles_sold"])
+
+
+@register(
+    "score_errors",
+    O.FULL
+    + """
+SELECT 'score' AS stage, CAST(count(*) AS BIGINT) AS n_elements,
+       CAST(count(*) FILTER (WHERE last_valid_day > 30) AS BIGINT) AS failed_elements,
+       CAST(0 AS BIGINT) AS AssertionErrors, CAST(0 AS BIGINT) AS KeyErrors, CAST(0 AS BIGINT) AS TypeErrors,
+       CAST(0 AS BIGINT) AS ValueErrors,
+       CAST(count(*) FILTER (WHERE last_valid_day > 30) AS BIGINT) AS other_errors
+FROM (SELECT DISTINCT item_id, year, month, last_valid_day FROM padded)""",
+)
+def q_score_errors(spark, sf_dir):
+    """PRD-4 counters over the whole table: a month that sold on day 31 has no next step."""
+    return quality.error_counts(scoring.step_inputs(prepared(spark, sf_dir), _PRED_DATE), "score")
