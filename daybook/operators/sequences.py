@@ -21,7 +21,7 @@ first failing check in the source's code order (see ``_rules``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -238,3 +238,62 @@ def explode_days(prepared: DataFrame, keys: list[str] | None = None) -> DataFram
     keys = keys if keys is not None else [c for c in prepared.columns if c not in spec.SEQUENCE_FEATURES]
     zipped = F.arrays_zip(*[F.col(c) for c in spec.SEQUENCE_FEATURES])
     return prepared.select(*keys, F.inline(zipped))
+
+
+def padded_long_window(raw: DataFrame) -> DataFrame:
+    """Window form of SEQ-1..10 on typed raw samples (good rows), long layout.
+
+    Real days and padding days (the calendar days without a sale) are stacked
+    and filled with window functions over (item, month) ordered by day. The
+    groups hold exactly 31 rows, and the rollup's exchange already clusters
+    the input by (item_number, year_month). Same rows as
+    ``explode_days(prepare(raw))``; used to cross-check the array form.
+    """
+    part = ["item_number", "year_month"]
+    parts = F.split("year_month", "-", -1)
+    header = raw.select(
+        *part,
+        "item_description",
+        *spec.SCALAR_FLOAT_FEATURES,
+        F.col("item_number").try_cast("bigint").alias("item_id"),
+        F.get(parts, 0).try_cast("bigint").alias("year"),
+        (F.get(parts, 1).try_cast("bigint") - 1).alias("month"),
+        F.dayofmonth(F.get("dates_arr", F.size("dates_arr") - 1)).cast("bigint").alias("last_valid_day"),
+        "dates_arr",
+        "daily_bottles_sold_arr",
+    )
+    statics = [c for c in header.columns if c not in ("dates_arr", "daily_bottles_sold_arr")]
+    real = header.select(
+        *statics,
+        F.posexplode(F.arrays_zip(F.col("dates_arr").alias("d"), F.col("daily_bottles_sold_arr").alias("q"))).alias(
+            "pos", "z"
+        ),
+    ).select(*statics, F.dayofmonth("z.d").cast("bigint").alias("dom"), F.col("z.q").alias("qty"), "pos")
+    in_order = Window.partitionBy(*part).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    real = real.withColumn("cumu", F.sum("qty").over(in_order)).drop("pos")
+    calendar = F.sequence(F.lit(1), F.lit(spec.SEQ_LEN)).cast("array<bigint>")
+    missing = F.array_except(calendar, F.transform("dates_arr", lambda d: F.dayofmonth(d).cast("bigint")))
+    pad = header.select(
+        *statics, F.explode(missing).alias("dom"), F.lit(None).cast("bigint").alias("qty"), F.lit(None).cast("bigint").alias("cumu")
+    )
+    by_day = Window.partitionBy(*part).orderBy("dom")
+    upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def filled(c):
+        return F.coalesce(F.last(c, ignorenulls=True).over(upto), F.first(c, ignorenulls=True).over(whole)).cast("double")
+
+    rows = real.unionByName(pad)
+    return rows.select(
+        "item_description",
+        "item_id",
+        "year",
+        "month",
+        "last_valid_day",
+        *spec.SCALAR_FLOAT_FEATURES,
+        (F.col("dom") - 1).alias("day"),
+        F.col("qty").isNotNull().cast("bigint").alias("valid_day"),
+        filled("cumu").alias("cumu_bottles_sold"),
+        filled("qty").alias("daily_bottles_sold"),
+        packs(F.sum("qty").over(Window.partitionBy(*part)), F.col("pack_size")).alias("total_packs_sold"),
+    )

@@ -23,7 +23,7 @@ from daybook.operators.split import mark_split
 from daybook.plans.train import run_train
 from daybook.sources import examples
 from daybook.operators.rollup import MEASURES, daily_item_sales, raw_samples
-from daybook.operators.sequences import explode_days, good_rows, prepare_samples
+from daybook.operators.sequences import explode_days, good_rows, padded_long_window, prepare_samples
 from daybook.plans import faults
 from daybook.plans import predict as predict_plan
 from daybook.plans import oracle as O
@@ -620,3 +620,9 @@ FROM (SELECT DISTINCT item_id, year, month, last_valid_day FROM padded)""",
 def q_score_errors(spark, sf_dir):
     """PRD-4 counters over the whole table: a month that sold on day 31 has no next step."""
     return quality.error_counts(scoring.step_inputs(prepared(spark, sf_dir), _PRED_DATE), "score")
+
+
+@register("padded_sequences_window", O.FULL + f"SELECT {O.PADDED_COLS} FROM padded")
+def q_padded_sequences_window(spark, sf_dir):
+    """Window (long) form of the padding, same result as the array form."""
+    return padded_long_window(raw_samples(sales(spark, sf_dir)))
