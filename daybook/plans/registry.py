@@ -27,7 +27,7 @@ from daybook.operators.sequences import explode_days, good_rows, padded_long_win
 from daybook.plans import faults
 from daybook.plans import predict as predict_plan
 from daybook.plans import oracle as O
-from daybook.session import work_path
+from daybook.session import ship_package, work_path
 from daybook.sources.ndjson import parse_lines, read_lines
 from daybook.sources.sales import date_window, lineitem_sales
 
@@ -49,6 +49,7 @@ def register(name: str, sql: str | None = None):
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return lineitem_sales(spark, sf_dir)
 
 
@@ -626,3 +627,9 @@ def q_score_errors(spark, sf_dir):
 def q_padded_sequences_window(spark, sf_dir):
     """Window (long) form of the padding, same result as the array form."""
     return padded_long_window(raw_samples(sales(spark, sf_dir)))
+
+
+@register("tfrecord_roundtrip", _ROUNDTRIP_SQL)
+def q_tfrecord_roundtrip(spark, sf_dir):
+    """Full train job written as gzip TFRecord shards, then read back."""
+    return _roundtrip(spark, sf_dir, "tfrecord")

@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -55,3 +56,25 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``daybook`` importable in Python workers (UDFs, data sources).
+
+    The package is zipped once per application and added with ``addPyFile``,
+    the same thing ``spark-submit --py-files`` does on a cluster.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = tempfile.mkdtemp(prefix="daybook-pyfiles-")
+    archive = shutil.make_archive(os.path.join(base, "daybook"), "zip", os.path.dirname(pkg), "daybook")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

@@ -1,0 +1,52 @@
+"""TFRecord framing, Example codec and the Spark data source round trip."""
+
+import os
+import tempfile
+
+from pyspark.sql import types as T
+
+from daybook import spec
+from daybook.sources.tfrecord import crc32c_many, decode_example, encode_example, frame, unframe
+from daybook.sources import examples
+
+
+def test_crc32c_check_value():
+    assert int(crc32c_many([b"123456789"])[0]) == 0xE3069283
+
+
+def test_example_codec_and_framing():
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("i", T.LongType()),
+                           T.StructField("f", T.ArrayType(T.FloatType())), T.StructField("n", T.ArrayType(T.LongType()))])
+    rows = [("é", -3, [0.5, 1.25], [1, 2**40, -1]), ("", 0, [], [])]
+    blobs = [encode_example(r, schema) for r in rows]
+    back = [decode_example(b) for b in unframe(frame(blobs))]
+    assert back[0] == {"s": ["é".encode()], "i": [-3], "f": [0.5, 1.25], "n": [1, 2**40, -1]}
+    assert back[1]["s"] == [b""]
+
+
+def test_corrupt_record_is_detected():
+    blob = bytearray(frame([b"abcdef"]))
+    blob[14] ^= 1
+    try:
+        unframe(bytes(blob))
+    except ValueError as e:
+        assert "CRC" in str(e)
+    else:
+        raise AssertionError("corruption not detected")
+
+
+def test_spark_roundtrip(spark):
+    from daybook.operators.rollup import raw_samples
+    from daybook.operators.sequences import good_rows, prepare_samples
+    from daybook.sources.sales import lineitem_sales
+    from conftest import SF_SMALL
+
+    prepared = good_rows(prepare_samples(raw_samples(lineitem_sales(spark, SF_SMALL))))
+    out = tempfile.mkdtemp(prefix="daybook-tfr-")
+    examples.write_schema(spark, out)
+    examples.write_split(prepared, os.path.join(out, "train"), 3, fmt="tfrecord")
+    files = [f for f in os.listdir(os.path.join(out, "train")) if f.endswith(".tfrecord.gz")]
+    assert len(files) == 3
+    back = examples.read_examples(spark, out, "train", fmt="tfrecord")
+    assert back.count() == prepared.count()
+    assert back.exceptAll(examples.to_export(prepared)).count() == 0
