@@ -18,7 +18,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MEASURES = ["cost", "retail", "volume_ml", "pack_size"]
@@ -78,6 +78,69 @@ def monthly_sequences(daily: DataFrame) -> DataFrame:
     )
 
 
-def raw_samples(sales: DataFrame, strategy: str = "two_exchange") -> DataFrame:
-    """Sales lines -> raw samples (the source pipeline's query result)."""
+_SOURCES = {
+    "cost": "state_bottle_cost",
+    "retail": "state_bottle_retail",
+    "volume_ml": "bottle_volume_ml",
+    "pack_size": "pack",
+}
+
+
+def _hashed_raw_samples(sales: DataFrame) -> DataFrame:
+    """Both levels with numeric-only buffers at level 1 (a hash aggregate).
+
+    A string ``min`` in level 1 forces a sort-based aggregate (every raw line
+    sorted map-side). Grouping level 1 by (item, date, description) keeps its
+    buffers numeric (sums and non-null counts); level 2, which collects the
+    month's days anyway, merges the description parts of each day, so daily
+    means and totals are over all lines of the day, as in AGG-1.
+    """
+    sums = []
+    for m, src in _SOURCES.items():
+        sums += [F.sum(src).cast("double").alias(f"s_{m}"), F.count(src).alias(f"n_{m}")]
+    level1 = sales.groupBy("item_number", "date", "item_description").agg(
+        *sums, F.sum("bottles_sold").alias("qty")
+    )
+    part_cols = ["date", *[c for m in MEASURES for c in (f"s_{m}", f"n_{m}")], "qty"]
+    level2 = level1.withColumn("year_month", year_month()).groupBy("item_number", "year_month").agg(
+        F.min("item_description").alias("item_description"),
+        F.collect_list(F.struct(*part_cols)).alias("_parts"),
+    )
+    dates = F.array_sort(F.array_distinct(F.transform("_parts", lambda p: p["date"])))
+    staged = level2.select("item_number", "item_description", "year_month", "_parts", dates.alias("_dates"))
+
+    def day_total(field: str, d: Column, dtype: str) -> Column:
+        """SQL ``sum`` of one part field over the parts of day ``d`` (NULLs skipped)."""
+        same = F.filter("_parts", lambda p: p["date"] == d)
+        return F.aggregate(
+            F.transform(same, lambda p: p[field]),
+            F.lit(None).cast(dtype),
+            lambda acc, x: F.when(acc.isNull(), x).when(x.isNull(), acc).otherwise(acc + x),
+        )
+
+    first = F.get(F.col("_dates"), 0)
+    measures = [
+        F.try_divide(day_total(f"s_{m}", first, "double"), day_total(f"n_{m}", first, "bigint")).alias(m)
+        for m in MEASURES
+    ]
+    qty = F.transform("_dates", lambda d: day_total("qty", d, "bigint"))
+    return staged.select(
+        "item_number",
+        "item_description",
+        *measures,
+        "year_month",
+        F.col("_dates").alias("dates_arr"),
+        qty.alias("daily_bottles_sold_arr"),
+    )
+
+
+def raw_samples(sales: DataFrame, strategy: str = "hashed") -> DataFrame:
+    """Sales lines -> raw samples (the source pipeline's query result).
+
+    ``hashed`` (default): hash aggregate at level 1, see ``_hashed_raw_samples``.
+    ``two_exchange``: AGG-1 then AGG-2 as written in the source query.
+    ``copartition``: one exchange on (item, month) serving both levels.
+    """
+    if strategy == "hashed":
+        return _hashed_raw_samples(sales)
     return monthly_sequences(daily_item_sales(sales, strategy))
