@@ -24,6 +24,19 @@ sales AS (
   FROM lineitem)"""
 
 
+EVENT_SALES = """
+sales AS (
+  SELECT CAST(user_id AS VARCHAR)              AS item_number,
+         event_type                            AS item_description,
+         CAST(round(value * 100) AS DOUBLE)    AS state_bottle_cost,
+         CAST(round(value * 100) AS DOUBLE)    AS state_bottle_retail,
+         CAST(750 AS BIGINT)                   AS bottle_volume_ml,
+         CAST(12 AS BIGINT)                    AS pack,
+         CAST(ts AS DATE)                      AS date,
+         CAST(1 AS BIGINT)                     AS bottles_sold
+  FROM events)"""
+
+
 def daily_cte(where: str = "", name: str = "daily") -> str:
     return f"""
 {name} AS (
@@ -128,6 +141,7 @@ def with_ctes(*ctes: str) -> str:
 
 
 FULL = with_ctes(SALES, daily_cte(), MONTHLY, PADDED)
+EVENTS = with_ctes(EVENT_SALES, daily_cte(), MONTHLY, PADDED)
 # full-table statistics next to the (possibly windowed) padded layout
 FULL_STATS = with_ctes(SALES, daily_cte(name="full_daily"), monthly_cte("full_daily", "full_monthly"), STATS,
                        daily_cte(), MONTHLY, PADDED)

@@ -29,7 +29,7 @@ from daybook.plans import predict as predict_plan
 from daybook.plans import oracle as O
 from daybook.session import ship_package, work_path
 from daybook.sources.ndjson import parse_lines, read_lines
-from daybook.sources.sales import date_window, lineitem_sales
+from daybook.sources.sales import date_window, events_sales, lineitem_sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -633,3 +633,10 @@ def q_padded_sequences_window(spark, sf_dir):
 def q_tfrecord_roundtrip(spark, sf_dir):
     """Full train job written as gzip TFRecord shards, then read back."""
     return _roundtrip(spark, sf_dir, "tfrecord")
+
+
+@register("events_sequences", O.EVENTS + f"SELECT {O.PADDED_COLS} FROM padded")
+def q_events_sequences(spark, sf_dir):
+    """Second input shape: the events table, one user = one item (thin sequences)."""
+    ship_package(spark)
+    return explode_days(good_rows(prepare_samples(raw_samples(events_sales(spark, sf_dir)))))
