@@ -90,19 +90,33 @@ class TableFields:
 
 
 class VariantFields:
-    """Reader over one VARIANT column holding a JSON object per row."""
+    """Reader over one VARIANT column holding a JSON object per row.
+
+    ``extract`` pulls every key out once (value as VARIANT and its type name)
+    so the checks below read plain columns instead of re-walking the variant.
+    """
 
     def __init__(self, column: str = "v"):
+        self.column = column
         self.v = F.col(column)
 
+    def extract(self, df, keys: list[str]):
+        cols = {}
+        for k in keys:
+            cols[f"_vf_{k}"] = F.variant_get(self.v, f"$.{k}", "variant")
+        out = df.withColumns(cols)
+        kinds = {f"_vk_{k}": F.schema_of_variant(F.col(f"_vf_{k}")) for k in keys}
+        kinds["_vk__"] = F.schema_of_variant(self.v)
+        return out.withColumns(kinds)
+
     def _get(self, name: str) -> Column:
-        return F.variant_get(self.v, f"$.{name}", "variant")
+        return F.col(f"_vf_{name}")
 
     def _kind(self, name: str) -> Column:
-        return F.schema_of_variant(self._get(name))
+        return F.col(f"_vk_{name}")
 
     def element_is_object(self) -> Column:
-        return F.coalesce(F.schema_of_variant(self.v).startswith("OBJECT"), F.lit(False))
+        return F.coalesce(F.col("_vk__").startswith("OBJECT"), F.lit(False))
 
     def present(self, name: str) -> Column:
         return self._get(name).isNotNull()
@@ -121,23 +135,23 @@ class VariantFields:
         return F.coalesce(self._kind(name).startswith("ARRAY"), F.lit(False))
 
     def string(self, name: str) -> Column:
-        return F.try_variant_get(self.v, f"$.{name}", "string")
+        return F.try_variant_get(self._get(name), "$", "string")
 
     def long_value(self, name: str) -> Column:
         # strings parse as integer text; JSON numbers truncate like int(float)
-        return F.try_variant_get(self.v, f"$.{name}", "bigint")
+        return F.try_variant_get(self._get(name), "$", "bigint")
 
     def double_value(self, name: str) -> Column:
-        return F.try_variant_get(self.v, f"$.{name}", "double")
+        return F.try_variant_get(self._get(name), "$", "double")
 
     def long_array(self, name: str) -> tuple[Column, Column, Column]:
-        items = F.try_variant_get(self.v, f"$.{name}", "array<variant>")
+        items = F.try_variant_get(self._get(name), "$", "array<variant>")
         vals = F.transform(items, lambda x: F.try_variant_get(x, "$", "bigint"))
         has_null = F.exists(items, lambda x: F.coalesce(F.is_variant_null(x), F.lit(True)))
         bad = F.exists(vals, lambda x: x.isNull())
         return vals, has_null, bad
 
     def date_array(self, name: str) -> tuple[Column, Column]:
-        items = F.try_variant_get(self.v, f"$.{name}", "array<variant>")
+        items = F.try_variant_get(self._get(name), "$", "array<variant>")
         vals = F.transform(items, lambda x: F.try_to_date(F.try_variant_get(x, "$", "string")))
         return vals, F.exists(vals, lambda x: x.isNull())

@@ -123,6 +123,8 @@ def _typed(raw: DataFrame, fields, keep: list[str]) -> DataFrame:
     flags["_a_dates_arr"] = fields.is_array("dates_arr")
     flags["_obj"] = fields.element_is_object() if isinstance(fields, VariantFields) else F.lit(True)
     cols += [c.alias(n) for n, c in flags.items()]
+    if isinstance(fields, VariantFields):
+        raw = fields.extract(raw, RAW_KEYS + ["last_valid_day"])
     return raw.select(*cols)
 
 
