@@ -34,28 +34,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared checkpoint folder of the job.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) a fresh folder is made.
+    In order: the folder already set on the context, ``spark.checkpoint.dir``,
+    and, on a ``local`` master only, a fresh temporary folder. On a cluster
+    without either it raises, because executors would write to their own disks.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_KEY, None)
+    already = sc.getCheckpointDir()
+    if already:  # Spark appends a folder of its own, still inside the shared one
+        return already
+    current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="daybook-ckpt-")
-        spark.conf.set(_LOCAL_KEY, current)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
-    return current
-
-
-_LOCAL_KEY = "daybook.local.checkpoint.dir"
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a staged table through the file system that holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 _SHIPPED: set[str] = set()
