@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import url_filter
+from daybook.llm import bpe, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_url_filter": url_filter.op6,
+        "op8_bpe": bpe.op8,
     }
 
 
