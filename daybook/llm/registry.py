@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bpe, url_filter
+from daybook.llm import bpe, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_quality_rules": quality_rules.op3,
         "op6_url_filter": url_filter.op6,
         "op8_bpe": bpe.op8,
     }
