@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bpe, quality_rules, url_filter
+from daybook.llm import bpe, langid, license_scan, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": quality_rules.op3,
         "op6_url_filter": url_filter.op6,
         "op8_bpe": bpe.op8,
+        "op9_langid": langid.op9,
+        "op10_license_scan": license_scan.op10,
     }
 
 
