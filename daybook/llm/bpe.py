@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import col, fresh, prepared_session, table
+from daybook.llm.common import col, prepared_session, table
 
 CACHED_WORDS = 200_000
 MAX_VOCAB_BYTES = 64 << 20
@@ -148,16 +148,21 @@ def _bpe(spec: str) -> Bpe:
     return _LOADED[key]
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", digests_only: bool = False) -> DataFrame:
-    """Append a struct column ``bpe``: ids, decoded, n_tokens, ids_sha256, decoded_sha256.
+#: What ``encode_documents`` returns beside the count and the digests.
+SHAPES = {"digests": "", "bytes": ", ids binary", "lists": ", ids array<int>, decoded string"}
 
-    ``path`` is the vocabulary file. With ``digests_only`` the ids and the
-    decoded text stay in the task that made them. A clashing input column
-    ``bpe`` is replaced.
+
+def encode_documents(docs: DataFrame, path: str, text: str = "text", shape: str = "lists") -> DataFrame:
+    """Append a struct column ``bpe``: n_tokens, ids_sha256, decoded_sha256 and what ``shape`` names.
+
+    ``path`` is the vocabulary file. ``lists``: ids and the decoded text;
+    ``bytes``: ids as little-endian unsigned 32-bit integers; ``digests``:
+    neither leaves the task. A clashing input column ``bpe`` is replaced.
     """
     spark = prepared_session(docs.sparkSession)
     shared = spark.sparkContext.broadcast(read_spec(path))
-    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ("" if digests_only else ", ids array<int>, decoded string")
+    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + SHAPES[shape]
+    names = [c.split(" ")[0] for c in kind.split(", ")]
 
     @F.pandas_udf(kind)
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -166,18 +171,18 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", digests_onl
             rows = []
             for t in part:
                 ids, decoded = bpe.encode(t)
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
-                rows.append(row if digests_only else (*row, list(struct.unpack(f"<{len(ids) // 4}I", ids)), decoded))
-            yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in kind.split(", ")])
+                n = len(ids) // 4
+                more = (ids,) if shape == "bytes" else (list(struct.unpack(f"<{n}I", ids)), decoded) if shape == "lists" else ()
+                rows.append((n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(), *more))
+            yield pd.DataFrame(rows, columns=names)
 
     others = [c for c in docs.columns if c.lower() != "bpe"]
-    name = fresh(docs.select(*[col(c) for c in others]), "bpe")
-    return docs.select(*[col(c) for c in others], run(col(text)).alias(name))
+    return docs.select(*[col(c) for c in others], run(col(text)).alias("bpe"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), digests_only=True)
+    out = encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), shape="digests")
     return out.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")

@@ -165,9 +165,12 @@ def identify(docs: DataFrame, profiles: list[tuple[str, np.ndarray]], text: str
     return out.select(*[col(c) for c in own], f"{name}.lang_pred", f"{name}.score")
 
 
+def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``identify`` with profiles learned from the documents of ``docs`` that are not held out."""
+    return identify(docs, fit(docs.where(taught_by(col(doc_id)) != 0), text, lang), text)
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    rest = taught_by(F.col("doc_id"))
-    profiles = fit(docs.where(rest != 0))
-    out = identify(docs.select("doc_id", "text"), profiles)
-    return out.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    out = identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    held_out = F.coalesce(taught_by(F.col("doc_id")) == 0, F.lit(False))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

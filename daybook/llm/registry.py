@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bpe, langid, license_scan, quality_rules, url_filter
+import corpus_pipeline
+from daybook.llm import bpe, decontaminate, langid, license_scan, quality_rules, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op3_quality_rules": quality_rules.op3,
+        "op4_decontaminate": decontaminate.op4,
         "op6_url_filter": url_filter.op6,
+        "op7_simhash": simhash.op7,
         "op8_bpe": bpe.op8,
         "op9_langid": langid.op9,
         "op10_license_scan": license_scan.op10,
@@ -20,6 +24,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    sql = {
+        "pipeline": corpus_pipeline.ORACLE_SQL,
         "op6_url_filter": url_filter.OP6_SQL,
     }
+    return {k: v for k, v in sql.items() if v is not None}
