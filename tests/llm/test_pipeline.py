@@ -7,8 +7,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from daybook.llm.decontaminate import normalised
-from tests.llm.test_quality_rules import base
-from tests.llm.test_simhash import plain_classes
+from test_quality_rules import base
+from test_simhash import plain_classes
 
 SF = "/root/testdata/sf0.01"
 
