@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from daybook.llm import bpe, decontaminate, extract, langid, license_scan, quality_rules, simhash, url_filter
+from daybook.llm import bpe, decontaminate, extract, langid, license_scan, perplexity, quality_rules, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_extract": extract.op1,
         "op3_quality_rules": quality_rules.op3,
         "op4_decontaminate": decontaminate.op4,
+        "op5_perplexity": perplexity.op5,
         "op6_url_filter": url_filter.op6,
         "op7_simhash": simhash.op7,
         "op8_bpe": bpe.op8,
