@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from daybook.llm import bpe, decontaminate, extract, langid, license_scan, perplexity, quality_rules, simhash, url_filter
+from daybook.llm import bpe, decontaminate, extract, katz, langid, license_scan, perplexity, quality_rules, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run,
         "op1_extract": extract.op1,
+        "op2_katz": katz.op2,
         "op3_quality_rules": quality_rules.op3,
         "op4_decontaminate": decontaminate.op4,
         "op5_perplexity": perplexity.op5,
