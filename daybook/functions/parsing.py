@@ -19,10 +19,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Texts that ``float()`` reads; Spark's cast also takes a type letter and hexadecimal digits. Digits grouped by ``_`` are not read.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def _try_cast(col: Column, to: str) -> Column:
     return col.try_cast(to)
 
 
+def _text_to_double(text: Column) -> Column:
+    return F.when(text.rlike(NUMBER), _try_cast(F.trim(text), "double"))
+
+
 class TableFields:
     """Reader over typed columns named like the raw-sample keys."""
 
@@ -62,7 +70,7 @@ class TableFields:
         """``float(x)``; NULL where Python raises ValueError."""
         t = self.types.get(name)
         if isinstance(t, T.StringType):
-            return _try_cast(F.col(name), "double")
+            return _text_to_double(F.col(name))
         return F.col(name).cast("double")
 
     def long_array(self, name: str) -> tuple[Column, Column, Column]:
@@ -142,7 +150,8 @@ class VariantFields:
         return F.try_variant_get(self._get(name), "$", "bigint")
 
     def double_value(self, name: str) -> Column:
-        return F.try_variant_get(self._get(name), "$", "double")
+        text = F.try_variant_get(self._get(name), "$", "string")
+        return F.when(self.is_string(name), _text_to_double(text)).otherwise(F.try_variant_get(self._get(name), "$", "double"))
 
     def long_array(self, name: str) -> tuple[Column, Column, Column]:
         items = F.try_variant_get(self._get(name), "$", "array<variant>")

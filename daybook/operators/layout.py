@@ -7,11 +7,10 @@
 * ``shuffle_key`` / ``assign_batches``: a repeatable shuffle and global,
   consecutive batch numbers with the incomplete last batch dropped.
 
-Batch numbering never funnels rows through one task: the shuffle key is
-uniform, so its top range splits the rows into ``buckets`` even ranges;
-per-bucket counts form a table of ``buckets`` rows (a fixed bound, safe to
-broadcast) whose running sum gives each bucket's offset; each bucket is then
-ranked on its own.
+Batch numbering never funnels rows through one task: the shuffle key is a
+hash, so its leading digits split the rows into even ranges; the ranges'
+counts form a table of fixed size, whose running sum gives each range's
+offset; each range is then ranked on its own.
 """
 
 from __future__ import annotations
@@ -20,18 +19,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook import spec
+from daybook.session import work_path
 
 KEYS = ["item_id", "year", "month"]
-# Modulus and multiplier of the shuffle hash (a Lehmer-style permutation of
-# [0, P)); every product stays below 2**62, so SQL engines agree bit for bit.
-HASH_P = 2147483647
-HASH_M = 48271
-STEP_FEATURES = ["item_id", "month", "cost", "retail", "pack_size", "cumu_bottles_sold", "daily_bottles_sold"]
+STEP_FEATURES = spec.STEP_FEATURES
 
 
-def model_layout(df: DataFrame) -> DataFrame:
-    """PRJ-7 + SEQ-12/13: keep the model columns, shaped (time, 1)."""
-    cols = [F.col(c) for c in KEYS if c not in spec.MODEL_TILED_FEATURES] + [F.col("valid_day")]
+def model_layout(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """PRJ-7 + SEQ-12/13: keep the model columns, shaped (time, 1), and those of ``keep`` as they are."""
+    cols = [F.col(c) for c in keep or []] + [F.col(c) for c in KEYS if c not in spec.MODEL_TILED_FEATURES] + [F.col("valid_day")]
     for c in spec.MODEL_TILED_FEATURES:
         cols.append(F.array_repeat(F.array(F.col(c)), spec.SEQ_LEN).alias(c))
     for c in spec.MODEL_SEQUENCE_FEATURES:
@@ -59,15 +55,12 @@ def step_matrix(
 
 
 def shuffle_key(seed: int = 42, keys: list[str] | None = None) -> Column:
-    """SRT-2: repeatable pseudo-random order key in [0, HASH_P)."""
+    """SRT-2: the order key of a row, 15 hexadecimal digits of a hash of seed and keys.
+
+    Any seed gives an order of its own; SQL engines with ``md5`` agree on it.
+    """
     keys = keys or KEYS
-    x = F.lit(0).cast("bigint")
-    for k in keys:
-        x = (x * 1000003 + F.col(k).cast("bigint")) % HASH_P
-    x = (x + seed) % HASH_P
-    for _ in range(3):
-        x = (x * HASH_M) % HASH_P
-    return x
+    return F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), 1, 15)
 
 
 def seeded_shuffle(df: DataFrame, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
@@ -76,25 +69,45 @@ def seeded_shuffle(df: DataFrame, seed: int = 42, keys: list[str] | None = None)
     return df.withColumn("shuffle_key", shuffle_key(seed, keys)).orderBy("shuffle_key", *keys)
 
 
-def assign_batches(
-    df: DataFrame, batch_size: int, seed: int = 42, keys: list[str] | None = None, buckets: int = 4096
-) -> DataFrame:
-    """SRT-3: ``position`` in shuffled order and ``batch_id = position div batch_size``;
-    rows of the last, incomplete batch are left out (drop_remainder)."""
+def positions(df: DataFrame, seed: int = 42, keys: list[str] | None = None, digits: int = 3) -> DataFrame:
+    """Append ``shuffle_key``, ``position`` in shuffled order and ``n_total``.
+
+    The rows are written once to the shared work folder, then counted and
+    ranked from there. The leading ``digits`` of the key make 16 ** digits even
+    ranges, each ranked alone: that number is the parallelism of the ranking
+    and the bound of the broadcast counts (4,096 by default; 4 digits for
+    65,536), whatever the table's size.
+    """
     keys = keys or KEYS
-    h = shuffle_key(seed, keys)
-    keyed = df.withColumns({"shuffle_key": h, "_bucket": (h * buckets / HASH_P).cast("int")})
-    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spark = df.sparkSession
+    path = work_path(spark, "shuffled")
+    df.withColumn("shuffle_key", shuffle_key(seed, keys)).write.parquet(path)
+    keyed = spark.read.parquet(path).withColumn("_range", F.substring("shuffle_key", 1, digits))
+    counts = keyed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(
-        "_bucket",
+        "_range",
         (F.sum("_n").over(running) - F.col("_n")).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
+        F.sum("_n").over(Window.partitionBy()).alias("n_total"),
     )
-    ranked = keyed.join(F.broadcast(offsets), "_bucket").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy("shuffle_key", *keys))
-    )
-    pos = F.col("_offset") + F.col("_rank") - 1
-    full_batches = F.floor(F.col("_total") / batch_size)
-    out = ranked.withColumns({"position": pos, "batch_id": F.floor(pos / batch_size).cast("bigint")})
-    return out.where(F.col("batch_id") < full_batches).drop("_bucket", "_offset", "_total", "_rank")
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy("shuffle_key", *keys))
+    ranked = keyed.withColumn("_rank", rank).join(F.broadcast(offsets), "_range")
+    return ranked.withColumn("position", F.col("_offset") + F.col("_rank") - 1).drop("_range", "_offset", "_rank")
+
+
+def assign_batches(df: DataFrame, batch_size: int, seed: int = 42, keys: list[str] | None = None, digits: int = 3) -> DataFrame:
+    """SRT-3: ``position`` in shuffled order and ``batch_id = position div batch_size``;
+    rows of the last, incomplete batch are left out (drop_remainder)."""
+    placed = positions(df, seed, keys, digits)
+    batch = F.floor(F.col("position") / batch_size).cast("bigint")
+    full = F.floor(F.col("n_total") / batch_size)
+    return placed.withColumn("batch_id", batch).where(F.col("batch_id") < full).drop("n_total")
+
+
+def training_batches(examples: DataFrame, batch_size: int, seed: int = 42, digits: int = 3) -> DataFrame:
+    """Exported examples -> model layout, target apart, shuffled and cut into batches, with all features."""
+    place = ["batch_id", "position", "sample"]
+    batched = assign_batches(examples, batch_size, seed, digits=digits).withColumn("sample", F.struct(*KEYS))
+    shaped = model_layout(batched, keep=place)
+    features = [c for c in shaped.columns if c not in (*place, spec.TARGET)]
+    return shaped.select("batch_id", "position", "sample.*", F.struct(*features).alias("features"), F.col(spec.TARGET).alias("label"))

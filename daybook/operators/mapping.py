@@ -16,9 +16,11 @@ import json
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def error_class_of(exc: BaseException) -> str:
@@ -34,6 +36,26 @@ def error_class_of(exc: BaseException) -> str:
     return "other_errors"
 
 
+#: Columns that ``map_and_quarantine`` adds to the declared ones.
+ADDED = [
+    T.StructField("error_class", T.StringType()),
+    T.StructField("error_message", T.StringType()),
+    T.StructField("raw", T.StringType()),
+    T.StructField("output", T.IntegerType()),
+]
+
+
+def results(mapped: DataFrame) -> DataFrame:
+    """The function's results, without failures and without marks of empty lists."""
+    added = {f.name for f in ADDED}
+    return mapped.where("error_class IS NULL AND output >= 0").select(*[c for c in mapped.columns if c not in added])
+
+
+def input_count() -> Column:
+    """How many inputs the rows come from: each has one row with output 0 or -1."""
+    return F.count_if(F.col("output") <= 0)
+
+
 def map_and_quarantine(
     df: DataFrame,
     fn: Callable[[Any], Any],
@@ -41,17 +63,18 @@ def map_and_quarantine(
     input_cols: list[str] | None = None,
 ) -> DataFrame:
     """Run ``fn`` on every row of ``df[input_cols]``; output ``schema`` plus
-    ``error_class``, ``error_message``, ``raw`` (NULL on good rows)."""
+    ``error_class``, ``error_message``, ``raw`` (NULL on good rows) and ``output``:
+    the place of the result among its input's results, 0 for a failure, -1 for
+    an input whose list of results is empty.
+
+    Results are built as Arrow columns of the declared types, so a failure
+    beside them changes no value; a result that does not fit its type is a
+    failure of its input (TypeErrors).
+    """
     cols = input_cols or df.columns
     names = [f.name for f in schema.fields]
-    out_schema = T.StructType(
-        list(schema.fields)
-        + [
-            T.StructField("error_class", T.StringType()),
-            T.StructField("error_message", T.StringType()),
-            T.StructField("raw", T.StringType()),
-        ]
-    )
+    out_schema = T.StructType([*schema.fields, *ADDED])
+    arrow = to_arrow_schema(out_schema)
     empty = [None] * len(names)
 
     def project(item: Any) -> list:
@@ -61,18 +84,28 @@ def map_and_quarantine(
             return [item]
         return list(empty)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out: list[list] = []
-            records = pdf[cols[0]].tolist() if len(cols) == 1 else pdf[cols].to_dict("records")
-            for rec in records:
-                try:
-                    res = fn(rec)
-                    for item in res if isinstance(res, list) else [res]:
-                        out.append(project(item) + [None, None, None])
-                except Exception as exc:  # noqa: BLE001 - every failure is classified
-                    raw = rec if isinstance(rec, str) else json.dumps(rec, default=str)
-                    out.append(list(empty) + [error_class_of(exc), str(exc), raw])
-            yield pd.DataFrame(out, columns=names + ["error_class", "error_message", "raw"])
-
-    return df.select(*cols).mapInPandas(run, out_schema)
+    def check(row: list) -> list:
+        for value, field in zip(row, arrow):
+            try:
+                pa.array([value], field.type)
+            except (pa.ArrowException, TypeError, ValueError, OverflowError) as exc:
+                raise TypeError(f"{field.name}: {exc}") from exc
+        return row
+
+    def outputs(record: Any) -> list[list]:
+        try:
+            found = fn(record)
+            rows = [check(project(item)) for item in (found if isinstance(found, list) else [found])]
+        except Exception as exc:  # noqa: BLE001 - every failure is classified
+            raw = record if isinstance(record, str) else json.dumps(record, default=str)
+            return [[*empty, error_class_of(exc), str(exc), raw, 0]]
+        return [[*row, None, None, None, i] for i, row in enumerate(rows)] or [[*empty, None, None, None, -1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            records = batch.column(0).to_pylist() if len(cols) == 1 else batch.to_pylist()
+            rows = [row for record in records for row in outputs(record)]
+            columns = [pa.array([row[k] for row in rows], field.type) for k, field in enumerate(arrow)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return df.select(*cols).mapInArrow(run, out_schema)

@@ -9,6 +9,8 @@ action that runs anyway, an ``Observation`` (``observe_errors``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,9 +61,13 @@ def _count_exprs(n_elements: Column | None = None) -> list[Column]:
     ]
 
 
-def error_counts(marked: DataFrame, stage: str) -> DataFrame:
-    """AGG-8: one row of counters for one stage (single pass, partial aggregates)."""
-    return marked.agg(*_count_exprs()).select(F.lit(stage).alias("stage"), "*")
+def error_counts(marked: DataFrame, stage: str, n_elements: Column | None = None) -> DataFrame:
+    """AGG-8: one row of counters for one stage (single pass, partial aggregates).
+
+    ``n_elements``: the aggregate that counts inputs, where rows are outputs
+    (``mapping.input_count()``); by default every row is an element.
+    """
+    return marked.agg(*_count_exprs(n_elements)).select(F.lit(stage).alias("stage"), "*")
 
 
 def observe_errors(marked: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
@@ -70,6 +76,27 @@ def observe_errors(marked: DataFrame, stage: str) -> tuple[DataFrame, Observatio
     return marked.observe(obs, *_count_exprs()), obs
 
 
+def staged_counts(column: str = "stage") -> Callable[[str, list[str]], list[Column]]:
+    """Counters of several stages over one table whose ``column`` names the stage that failed a row.
+
+    A row reaches a stage unless an earlier one failed it, so the counts of
+    all stages come from one pass.
+    """
+
+    def counters(stage: str, earlier: list[str]) -> list[Column]:
+        here = F.col(column) == stage
+        reached = F.coalesce(~F.col(column).isin(earlier), F.lit(True)) if earlier else F.lit(True)
+        if stage == "parse":  # its inputs are lines, of which a list has a row for each element
+            reached = F.coalesce(F.col("place") == 0, F.lit(True))
+        return [
+            F.count_if(reached).alias(f"{stage}.n_elements"),
+            F.count_if(here).alias(f"{stage}.failed_elements"),
+            *[F.count_if(here & (F.col("error_class") == name)).alias(f"{stage}.{name}") for name in spec.ERROR_CLASSES],
+        ]
+
+    return counters
+
+
 # -- validator (VAL-1..4) ---------------------------------------------------
 
 
@@ -108,6 +135,7 @@ def validate_examples(df: DataFrame) -> DataFrame:
                     F.concat(sample_id, F.lit(f": {f.name} shape ("), F.size(f.name).cast("string"), F.lit(f",) but should be ({f.length},)")),
                 )
             )
+            rules.append((F.exists(f.name, lambda x: x.isNull()), F.concat(sample_id, F.lit(f": {f.name} has a missing element"))))
         for cond, text in rules:
             cls = F.when(cond, F.lit("AssertionErrors")) if cls is None else cls.when(cond, F.lit("AssertionErrors"))
             msg = F.when(cond, text) if msg is None else msg.when(cond, text)

@@ -1,4 +1,4 @@
-"""Two-level rollup: sale lines -> (item, day) -> one ordered sequence per (item, month).
+"""Rollup: sale lines -> (item, day) -> one ordered sequence per (item, month).
 
 AGG-1..6, PRJ-1, SRT-1. ``ANY_VALUE`` of the source is made repeatable:
 ``min`` for the description, and the four measures are all taken from the
@@ -6,14 +6,13 @@ first day of the month (one consistent row, ``min_by`` on the date).
 
 Scale notes
 -----------
-* Level 1 groups by (item, date). Spark plans a partial (map-side) aggregate
-  before the exchange, so a hot item or a hot day is collapsed per map task
-  before it is shuffled: skew on raw lines never reaches one reducer.
-* Level 2 groups by (item, month) and holds at most 31 daily rows per group,
-  whatever the volume of the item: bounded groups, ``collect_list`` is safe.
-* ``strategy="copartition"`` shuffles raw lines once on (item, month) and
-  serves both levels from that exchange. It skips the map-side combine, so it
-  only pays off when lines per (item, day) are close to one.
+* Lines are first summed by (item, date, description) with numeric buffers: a
+  hash aggregate with map-side partial sums, so a hot item or day is collapsed
+  in each map task, and no raw line is sorted (a string ``min`` there would make
+  it a sort-based aggregate).
+* The sums are dealt once by (item, month). Days are merged and months collected
+  from that one exchange; a group of it has at most 31 days times the
+  descriptions of one item, whatever the item's volume.
 """
 
 from __future__ import annotations
@@ -21,7 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MEASURES = ["cost", "retail", "volume_ml", "pack_size"]
+#: Measures of a raw sample and the sales columns that they are means of.
+SOURCES = {
+    "cost": "state_bottle_cost",
+    "retail": "state_bottle_retail",
+    "volume_ml": "bottle_volume_ml",
+    "pack_size": "pack",
+}
+MEASURES = list(SOURCES)
 RAW_SAMPLE_COLUMNS = [
     "item_number",
     "item_description",
@@ -35,28 +41,22 @@ RAW_SAMPLE_COLUMNS = [
 ]
 
 
-def _daily_aggs():
-    return [
-        F.min("item_description").alias("item_description"),
-        F.avg("state_bottle_cost").alias("cost"),
-        F.avg("state_bottle_retail").alias("retail"),
-        F.avg("bottle_volume_ml").alias("volume_ml"),
-        F.avg("pack").alias("pack_size"),
-        F.sum("bottles_sold").alias("daily_bottles_sold"),
-    ]
-
-
-def year_month(date_col="date"):
+def year_month(date_col: str = "date") -> Column:
     """``FORMAT_DATE('%Y-%m', date)``."""
     return F.date_format(date_col, "yyyy-MM")
 
 
-def daily_item_sales(sales: DataFrame, strategy: str = "two_exchange") -> DataFrame:
+def daily_item_sales(sales: DataFrame) -> DataFrame:
     """AGG-1: one row per (item_number, date) with means and the day's total."""
-    if strategy == "copartition":
-        keyed = sales.withColumn("year_month", year_month()).repartition("item_number", "year_month")
-        return keyed.groupBy("item_number", "year_month", "date").agg(*_daily_aggs())
-    return sales.groupBy("item_number", "date").agg(*_daily_aggs()).withColumn("year_month", year_month())
+    sums = [F.sum(F.col(src).cast("double")).alias(f"s_{m}") for m, src in SOURCES.items()]
+    counts = [F.count(src).alias(f"n_{m}") for m, src in SOURCES.items()]
+    parts = sales.groupBy("item_number", "date", "item_description").agg(*sums, *counts, F.sum("bottles_sold").alias("qty"))
+    dealt = parts.withColumn("year_month", year_month()).repartition("item_number", "year_month")
+    return dealt.groupBy("item_number", "year_month", "date").agg(
+        F.min("item_description").alias("item_description"),
+        *[F.try_divide(F.sum(f"s_{m}"), F.sum(f"n_{m}")).alias(m) for m in MEASURES],
+        F.sum("qty").alias("daily_bottles_sold"),
+    )
 
 
 def monthly_sequences(daily: DataFrame) -> DataFrame:
@@ -78,72 +78,6 @@ def monthly_sequences(daily: DataFrame) -> DataFrame:
     )
 
 
-_SOURCES = {
-    "cost": "state_bottle_cost",
-    "retail": "state_bottle_retail",
-    "volume_ml": "bottle_volume_ml",
-    "pack_size": "pack",
-}
-
-
-def _hashed_raw_samples(sales: DataFrame) -> DataFrame:
-    """Both levels with numeric-only buffers at level 1 (a hash aggregate).
-
-    A string ``min`` in level 1 forces a sort-based aggregate (every raw line
-    sorted map-side). Grouping level 1 by (item, date, description) keeps its
-    buffers numeric (sums and non-null counts); level 2, which collects the
-    month's days anyway, merges the description parts of each day, so daily
-    means and totals are over all lines of the day, as in AGG-1.
-    """
-    sums = []
-    for m, src in _SOURCES.items():
-        sums += [F.sum(src).cast("double").alias(f"s_{m}"), F.count(src).alias(f"n_{m}")]
-    level1 = sales.groupBy("item_number", "date", "item_description").agg(
-        *sums, F.sum("bottles_sold").alias("qty")
-    )
-    part_cols = ["date", *[c for m in MEASURES for c in (f"s_{m}", f"n_{m}")], "qty"]
-    level2 = level1.withColumn("year_month", year_month()).groupBy("item_number", "year_month").agg(
-        F.min("item_description").alias("item_description"),
-        F.collect_list(F.struct(*part_cols)).alias("_parts"),
-    )
-    dates = F.array_sort(F.array_distinct(F.transform("_parts", lambda p: p["date"])))
-    staged = level2.select("item_number", "item_description", "year_month", "_parts", dates.alias("_dates"))
-
-    def day_total(field: str, d: Column, dtype: str) -> Column:
-        """SQL ``sum`` of one part field over the parts of day ``d`` (NULLs skipped)."""
-        same = F.filter("_parts", lambda p: p["date"] == d)
-        return F.aggregate(
-            F.transform(same, lambda p: p[field]),
-            F.lit(None).cast(dtype),
-            lambda acc, x: F.when(acc.isNull(), x).when(x.isNull(), acc).otherwise(acc + x),
-        )
-
-    first = F.get(F.col("_dates"), 0)
-    measures = [
-        F.try_divide(day_total(f"s_{m}", first, "double"), day_total(f"n_{m}", first, "bigint")).alias(m)
-        for m in MEASURES
-    ]
-    qty = F.transform("_dates", lambda d: day_total("qty", d, "bigint"))
-    return staged.select(
-        "item_number",
-        "item_description",
-        *measures,
-        "year_month",
-        F.col("_dates").alias("dates_arr"),
-        qty.alias("daily_bottles_sold_arr"),
-    )
-
-
-def raw_samples(sales: DataFrame, strategy: str = "two_exchange") -> DataFrame:
-    """Sales lines -> raw samples (the source pipeline's query result).
-
-    ``two_exchange`` (default): AGG-1 then AGG-2 as written in the source query.
-    ``hashed``: hash aggregate at level 1, see ``_hashed_raw_samples``; faster
-    for the rollup alone, but when preparation follows, Catalyst inlines the
-    per-day merge into later projections and the whole chain is slower
-    (measured at sf0.1), so it is not the default.
-    ``copartition``: one exchange on (item, month) serving both levels.
-    """
-    if strategy == "hashed":
-        return _hashed_raw_samples(sales)
-    return monthly_sequences(daily_item_sales(sales, strategy))
+def raw_samples(sales: DataFrame) -> DataFrame:
+    """Sales lines -> raw samples (the source pipeline's query result)."""
+    return monthly_sequences(daily_item_sales(sales))

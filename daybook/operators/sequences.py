@@ -42,15 +42,38 @@ RAW_KEYS = [
 ERROR_COLUMNS = ["error_class", "error_message"]
 
 
+CHUNK = 64
+
+
+def _sum(values: Column) -> Column:
+    """Sum of a list of longs (ANSI-safe: overflow or a NULL element -> NULL)."""
+    return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, b: F.try_add(a, b))
+
+
 def _running_total(qty: Column) -> Column:
-    """SEQ-1: cumulative sum in array order (ANSI-safe: overflow -> NULL)."""
-    zero = F.lit(0).cast("bigint")
-    return F.transform(qty, lambda _x, i: F.aggregate(F.slice(qty, 1, i + 1), zero, lambda a, b: F.try_add(a, b)))
+    """SEQ-1: cumulative sum in array order.
+
+    Elements are summed within chunks of ``CHUNK``, on top of the chunk's
+    start, so the work per element is bounded whatever the list's length. The
+    starts are bound by a one-element ``transform`` so that they are computed
+    once a row.
+    """
+    chunk = lambda c: F.slice(qty, c * CHUNK + 1, CHUNK)
+    sums = F.transform(F.sequence(F.lit(0), (F.size(qty) / CHUNK).cast("int")), lambda c: _sum(chunk(c)))
+    starts = lambda s: F.transform(s, lambda _x, c: _sum(F.slice(s, 1, c)))
+
+    def within(start: Column) -> Column:
+        first = lambda i: (i / CHUNK).cast("int")
+        return F.transform(
+            qty, lambda _x, i: F.try_add(F.get(start, first(i)), _sum(F.slice(qty, first(i) * CHUNK + 1, i % CHUNK + 1)))
+        )
+
+    return F.get(F.transform(F.array(F.get(F.transform(F.array(sums), starts), 0)), within), 0)
 
 
 def _array_total(qty: Column) -> Column:
     """SEQ-2: the sequence total."""
-    return F.aggregate(qty, F.lit(0).cast("bigint"), lambda a, b: F.try_add(a, b))
+    return _sum(qty)
 
 
 def packs(total: Column, pack_size: Column) -> Column:
@@ -104,7 +127,7 @@ def _typed(raw: DataFrame, fields, keep: list[str]) -> DataFrame:
         fields.string("item_description").alias("_desc"),
         *[fields.double_value(f).alias(f"_{f}") for f in spec.SCALAR_FLOAT_FEATURES],
         fields.long_value("last_valid_day").alias("_lvd_in")
-        if isinstance(fields, VariantFields)
+        if isinstance(fields, VariantFields) or "last_valid_day" in raw.columns
         else F.lit(None).cast("bigint").alias("_lvd_in"),
         qty.alias("_qty"),
         qty_null.alias("_qty_null"),
@@ -154,7 +177,9 @@ def _rules() -> list[tuple[Column, str, Column]]:
         add(c(f"_{f}").isNull(), "ValueErrors", f"{f} is not a number")
     q = "daily_bottles_sold_arr"
     add(~c(f"_p_{q}"), "KeyErrors", f"'{q}'")
-    add(c(f"_n_{q}") | ~c(f"_a_{q}") | c("_qty_null"), "TypeErrors", "a quantity is null")
+    add(c(f"_n_{q}") | c("_qty_null"), "TypeErrors", "a quantity is null")
+    # the source would spread one number over all dates; here a list is required
+    add(~c(f"_a_{q}"), "TypeErrors", "quantities are not a list")
     add(c("_qty_bad"), "ValueErrors", "a quantity is not an integer")
     d = "dates_arr"
     add(~c(f"_p_{d}"), "KeyErrors", f"'{d}'")
@@ -163,6 +188,7 @@ def _rules() -> list[tuple[Column, str, Column]]:
     add(F.size(c("_qty")) != F.size(c("_dates")), "ValueErrors", "dates and quantities differ in length")
     add(F.size(c("_qty")) == 0, "other_errors", "no sale days")
     add(F.size(F.array_distinct(c("_days"))) != F.size(c("_days")), "ValueErrors", "a day of month occurs twice")
+    add(F.exists(c("_cumu"), lambda x: x.isNull()), "other_errors", "the running total does not fit 64 bits")
     sample_id = F.concat_ws("_", c("_item_id"), c("_year"), c("_month1") - 1)
     add(c("_n_item_description"), "AssertionErrors", F.concat(sample_id, F.lit(" is missing item_description")))
     add(~c("_s_item_description"), "AssertionErrors", F.concat(sample_id, F.lit(": item_description should be string")))

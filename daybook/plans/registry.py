@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from daybook import spec
 from daybook.operators import layout, quality, scoring, training
-from daybook.operators.mapping import map_and_quarantine
+from daybook.operators.mapping import input_count, map_and_quarantine
 from daybook.operators.scaling import apply_minmax, fit_minmax, stats_frame
 from daybook.operators.split import mark_split
-from daybook.plans.train import run_train
+from daybook.plans.train import examples_of_lines, run_train, split_folder
 from daybook.sources import examples
 from daybook.operators.rollup import MEASURES, daily_item_sales, raw_samples
 from daybook.operators.sequences import explode_days, good_rows, padded_long_window, prepare_samples
@@ -29,7 +29,7 @@ from daybook.plans import predict as predict_plan
 from daybook.plans import oracle as O
 from daybook.session import ship_package, work_path
 from daybook.sources.ndjson import parse_lines, read_lines
-from daybook.sources.sales import date_window, events_sales, lineitem_sales
+from daybook.sources.sales import date_window, events_sales, lineitem_sales, mark_sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -209,7 +209,7 @@ _CODED = O.with_ctes(O.SALES, O.daily_cte(), O.MONTHLY, O.PADDED.strip().rstrip(
     "ndjson_parse",
     _CODED
     + f"""
-SELECT p.item_description, p.item_id, p.year, p.month, p.last_valid_day, p.volume_ml,
+SELECT p.item_description, p.item_id, CASE WHEN c.r = {faults.NO_YEAR} THEN 0 ELSE p.year END AS year, p.month, p.last_valid_day, p.volume_ml,
        CASE WHEN c.r = {faults.ZERO_PACK} THEN 0.0 ELSE p.pack_size END AS pack_size,
        p.cost, p.retail, p.day, p.valid_day, p.cumu_bottles_sold, p.daily_bottles_sold,
        CASE WHEN c.r = {faults.ZERO_PACK} THEN (CASE WHEN p.total > 0 THEN 'inf'::DOUBLE
@@ -280,7 +280,8 @@ def _json_fields(value):
     _CODED
     + f"""
 SELECT CASE WHEN r IN (0, 14, 15) THEN NULL WHEN r = 4 THEN 'x' || item_number ELSE item_number END AS item_number,
-       CASE WHEN r IN (0, 14, 15, 2) THEN NULL WHEN r = 3 THEN substr(year_month, 1, 4) ELSE year_month END AS year_month,
+       CASE WHEN r IN (0, 14, 15, 2) THEN NULL WHEN r = 3 THEN substr(year_month, 1, 4)
+            WHEN r = {faults.NO_YEAR} THEN '0000' || substr(year_month, 5) ELSE year_month END AS year_month,
        CASE WHEN r = 0 THEN 'ValueErrors' END AS error_class
 FROM coded CROSS JOIN {O.TWICE}
 WHERE dup.k = 1 OR r = {faults.LIST_LINE}""",
@@ -289,7 +290,70 @@ def q_map_and_quarantine(spark, sf_dir):
     lines = read_lines(spark, ndjson_path(spark, sf_dir))
     out_schema = T.StructType([T.StructField("item_number", T.StringType()), T.StructField("year_month", T.StringType())])
     mapped = map_and_quarantine(lines, _json_fields, out_schema, ["value"])
-    return mapped.select("item_number", "year_month", "error_class")
+    return mapped.where("output >= 0").select("item_number", "year_month", "error_class")
+
+
+def _quantities(value):
+    import json
+
+    return [{"n": int(q)} for q in json.loads(value)["daily_bottles_sold_arr"]]
+
+
+_NOT_MAPPED = f"0, 6, {faults.LIST_LINE}, 14, 15"
+
+
+@register(
+    "map_counts",
+    _CODED
+    + f"""
+, days AS (SELECT item_number, year_month, count(*) AS n FROM daily GROUP BY item_number, year_month)
+SELECT CAST(count(*) AS BIGINT) AS n_elements,
+       CAST(count(*) FILTER (WHERE r IN ({_NOT_MAPPED})) AS BIGINT) AS failed_elements,
+       CAST(sum(CASE WHEN r IN ({_NOT_MAPPED}, 9) THEN 0 WHEN r = 10 THEN n + 1 WHEN r = 19 THEN 2 ELSE n END) AS BIGINT) AS n_results,
+       max(CASE WHEN r = 19 THEN 9223372036854775807 END) AS largest
+FROM coded JOIN days USING (item_number, year_month)""",
+)
+def q_map_counts(spark, sf_dir):
+    """A function that returns lists: inputs are counted, not outputs, and longs stay exact beside failures."""
+    lines = read_lines(spark, ndjson_path(spark, sf_dir))
+    mapped = map_and_quarantine(lines, _quantities, T.StructType([T.StructField("n", T.LongType())]), ["value"])
+    return mapped.agg(
+        input_count().alias("n_elements"),
+        F.count_if(F.col("error_class").isNotNull()).alias("failed_elements"),
+        F.count_if(F.col("error_class").isNull() & (F.col("output") >= 0)).alias("n_results"),
+        F.max("n").alias("largest"),
+    )
+
+
+@register(
+    "table_last_valid_day",
+    O.FULL + "SELECT DISTINCT item_id, year, month, last_valid_day, CAST(NULL AS VARCHAR) AS error_class FROM padded",
+)
+def q_table_last_valid_day(spark, sf_dir):
+    """Table input that brings its own last_valid_day, which preparation reads and replaces."""
+    raw = raw_samples(sales(spark, sf_dir)).withColumn("last_valid_day", F.lit(1).cast("bigint"))
+    return prepare_samples(raw).select(*KEYS, "last_valid_day", "error_class")
+
+
+@register(
+    "sales_quarantine",
+    """
+SELECT CASE WHEN l_orderkey % 97 = 0 THEN 'ValueErrors' END AS error_class,
+       CASE WHEN l_orderkey % 97 = 0 THEN 'date is not a date' END AS error_message,
+       CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN l_orderkey % 97 = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END) AS BIGINT) AS bottles
+FROM lineitem GROUP BY ALL""",
+)
+def q_sales_quarantine(spark, sf_dir):
+    """Sales as text with dates that don't exist: such lines are marked and the others used."""
+    text = F.when(F.col("l_orderkey") % 97 == 0, F.lit("2020-13-01")).otherwise(F.col("l_shipdate").cast("date").cast("string"))
+    source = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_suppkey").cast("string").alias("item_number"), F.lit("x").alias("item_description"),
+        *[F.lit(1.0).alias(c) for c in ("state_bottle_cost", "state_bottle_retail")],
+        *[F.lit(1).alias(c) for c in ("bottle_volume_ml", "pack")],
+        text.alias("date"), F.col("l_quantity").cast("bigint").cast("string").alias("bottles_sold"),
+    )
+    used = F.when(F.col("error_class").isNull(), F.col("bottles_sold")).otherwise(0)
+    return mark_sales(source).groupBy("error_class", "error_message").agg(F.count("*").alias("n"), F.sum(used).alias("bottles"))
 
 
 _TYPED_FAULTS = {2: "other_errors", 3: "ValueErrors", 4: "ValueErrors", 9: "other_errors", 10: "ValueErrors", 11: "AssertionErrors"}
@@ -407,11 +471,11 @@ FROM padded CROSS JOIN stats"""
 )
 
 
-def _roundtrip(spark, sf_dir, fmt):
+def _roundtrip(spark, sf_dir, fmt, shards=None):
     dataset = work_path(spark, f"dataset-{fmt}")
-    run_train(spark, sales(spark, sf_dir), dataset, O.SPLIT_DATE, fmt=fmt)
+    run_train(spark, sales(spark, sf_dir), dataset, O.SPLIT_DATE, shards, fmt)
     parts = [
-        examples.read_examples(spark, dataset, s, fmt).withColumn("split", F.lit(s))
+        examples.read_examples(spark, dataset, s if shards else split_folder(s), fmt).withColumn("split", F.lit(s))
         for s in (spec.TRAIN_PREFIX, spec.TEST_PREFIX)
     ]
     back = explode_days(parts[0].unionByName(parts[1]))
@@ -422,7 +486,22 @@ def _roundtrip(spark, sf_dir, fmt):
 @register("example_roundtrip", _ROUNDTRIP_SQL)
 def q_example_roundtrip(spark, sf_dir):
     """Full train job (gzip JSON shards), then read every shard back."""
-    return _roundtrip(spark, sf_dir, "json")
+    return _roundtrip(spark, sf_dir, "json", {spec.TRAIN_PREFIX: spec.TRAIN_SHARDS})
+
+
+@register("binary_roundtrip", _ROUNDTRIP_SQL)
+def q_binary_roundtrip(spark, sf_dir):
+    """The same through a binary format, one folder a split."""
+    return _roundtrip(spark, sf_dir, "orc")
+
+
+@register("json_examples", O.FULL + f"SELECT {O.PADDED_COLS} FROM padded")
+def q_json_examples(spark, sf_dir):
+    """Train job's examples from JSON lines without faults: the same as from the table."""
+    path = work_path(spark, "clean-lines")
+    raw_samples(sales(spark, sf_dir)).select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    marked = examples_of_lines(read_lines(spark, path))
+    return explode_days(marked.where("stage IS NULL").select(*spec.FEATURE_NAMES))
 
 
 @register(
@@ -496,21 +575,19 @@ def q_step_matrix(spark, sf_dir):
 
 
 def _shuffle_sql(seed: int = 42) -> str:
-    x = "CAST(0 AS BIGINT)"
-    for k in KEYS:
-        x = f"(({x}) * 1000003 + {k}) % {layout.HASH_P}"
-    x = f"(({x}) + {seed}) % {layout.HASH_P}"
-    for _ in range(3):
-        x = f"(({x}) * {layout.HASH_M}) % {layout.HASH_P}"
-    return x
+    return f"substr(md5(concat_ws('|', '{seed}', {', '.join(KEYS)})), 1, 15)"
 
 
 @register(
     "seeded_shuffle",
-    O.FULL + f"SELECT item_id, year, month, {_shuffle_sql()} AS shuffle_key FROM (SELECT DISTINCT item_id, year, month FROM padded)",
+    O.FULL
+    + f"""
+SELECT *, CAST(row_number() OVER (ORDER BY shuffle_key, item_id, year, month) - 1 AS BIGINT) AS position
+FROM (SELECT DISTINCT item_id, year, month, {_shuffle_sql()} AS shuffle_key FROM padded)""",
 )
 def q_seeded_shuffle(spark, sf_dir):
-    return layout.seeded_shuffle(prepared(spark, sf_dir).select(*KEYS))
+    placed = layout.positions(prepared(spark, sf_dir).select(*KEYS))
+    return placed.select(*KEYS, "shuffle_key", F.col("position").cast("bigint"))
 
 
 BATCH_SIZE = 32
@@ -539,6 +616,38 @@ def q_batch_ids(spark, sf_dir):
     )
 
 
+@register(
+    "training_batches",
+    O.FULL_STATS
+    + f"""
+, train AS (
+  SELECT DISTINCT item_id, year, month FROM padded
+  WHERE make_date(CAST(year AS INTEGER), CAST(month + 1 AS INTEGER), 1) < DATE '{O.SPLIT_DATE}'),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY {_shuffle_sql()}, item_id, year, month) - 1 AS position FROM train)
+SELECT CAST(position // {BATCH_SIZE} AS BIGINT) AS batch_id, CAST(position AS BIGINT) AS position, item_id, year, month,
+       day AS step, valid_day, CAST(CAST({O.scaled_sql('pack_size')} AS FLOAT) AS DOUBLE) AS pack_size,
+       CAST(CAST(cumu_bottles_sold AS FLOAT) AS DOUBLE) AS cumu_bottles_sold,
+       CAST(CAST(total_packs_sold AS FLOAT) AS DOUBLE) AS label
+FROM numbered JOIN padded USING (item_id, year, month) CROSS JOIN stats
+WHERE position // {BATCH_SIZE} < (SELECT count(*) // {BATCH_SIZE} FROM train)""",
+)
+def q_training_batches(spark, sf_dir):
+    """Exported shards -> layout, target apart, shuffled batches with their features."""
+    dataset, _, _ = trained(spark, sf_dir)
+    shards = examples.read_examples(spark, dataset, split_folder(spec.TRAIN_PREFIX))
+    batches = layout.training_batches(shards, BATCH_SIZE)
+    one = lambda c, i: F.get(F.get(F.col(f"features.{c}"), i), 0)
+    steps = F.transform(F.sequence(F.lit(0), F.lit(spec.SEQ_LEN - 1)), lambda i: F.struct(
+        i.cast("bigint").alias("step"),
+        F.get(F.col("features.valid_day"), i).alias("valid_day"),
+        one("pack_size", i).cast("double").alias("pack_size"),
+        one("cumu_bottles_sold", i).cast("double").alias("cumu_bottles_sold"),
+        F.get(F.get(F.col("label"), i), 0).cast("double").alias("label"),
+    ))
+    return batches.select("batch_id", F.col("position").cast("bigint"), *KEYS, F.inline(steps))
+
+
 # -- MDL-1..3, PRD-1..4, PRJ-8/9, SNK-4 ---------------------------------------
 
 _MODEL_CACHE: dict[tuple[str, str], tuple[str, str, dict]] = {}
@@ -555,39 +664,146 @@ def trained(spark: SparkSession, sf_dir: str) -> tuple[str, str, dict]:
     return _MODEL_CACHE[key]
 
 
-@register("train_eval")
+_TEST_DAYS = f"""
+SELECT * FROM padded WHERE valid_day = 1
+AND make_date(CAST(year AS INTEGER), CAST(month + 1 AS INTEGER), 1) >= DATE '{O.SPLIT_DATE}'"""
+
+
+@register(
+    "train_eval",
+    O.FULL + f"SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_skipped, true AS finite, true AS beats_mean FROM ({_TEST_DAYS})",
+)
 def q_train_eval(spark, sf_dir):
-    """Export, read back, train on train, save, evaluate on test: one metrics row."""
-    _, _, metrics = trained(spark, sf_dir)
-    return spark.createDataFrame([metrics], "n_rows bigint, mse double, mae double")
+    """Export, read back, train on train, save, reload, evaluate on test.
 
+    Of a trained model this compares what is fixed: the rows it was judged on,
+    that its errors are numbers, and that they are below the label's variance."""
+    dataset, model_dir, _ = trained(spark, sf_dir)
+    test = examples.read_examples(spark, dataset, split_folder(spec.TEST_PREFIX))
+    metrics = training.regression_metrics(training.load(model_dir), test)
+    spread = training.long_rows(test).agg(F.var_pop(spec.TARGET).alias("spread"))
+    return metrics.crossJoin(spread).select(
+        "n_rows", "n_skipped", (~F.isnan("mse") & (F.col("mse") < float("inf"))).alias("finite"), (F.col("mse") < F.col("spread")).alias("beats_mean")
+    )
 
-@register("regression_metrics")
+
+@register(
+    "regression_metrics",
+    O.FULL
+    + f"""
+, judged AS (SELECT CAST(2 * daily_bottles_sold + cumu_bottles_sold + month AS DOUBLE) - floor(total_packs_sold) AS err FROM ({_TEST_DAYS}))
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_skipped, sum(err * err) AS sum_squared, sum(abs(err)) AS sum_absolute,
+       sum(err * err) / count(*) AS mse, sum(abs(err)) / count(*) AS mae
+FROM judged""",
+)
 def q_regression_metrics(spark, sf_dir):
-    """Reload the saved model from disk and evaluate the test shards again."""
+    """Errors of stored predictions; whole numbers, so that sums are exact in any order."""
+    rows = training.long_rows(mark_split(prepared(spark, sf_dir), O.SPLIT_DATE).where(F.col("split") == spec.TEST_PREFIX))
+    stored = work_path(spark, "judged")
+    prediction = 2 * F.col("daily_bottles_sold") + F.col("cumu_bottles_sold") + F.col("month")
+    rows.select(prediction.alias("prediction"), F.floor(spec.TARGET).alias("label")).write.parquet(stored)
+    return training.error_metrics(spark.read.parquet(stored), label="label")
+
+
+def _predicted(spark, sf_dir, **kw):
     dataset, model_dir, _ = trained(spark, sf_dir)
-    test_ex = examples.read_examples(spark, dataset, spec.TEST_PREFIX)
-    return training.regression_metrics(training.load(model_dir), test_ex)
+    return predict_plan.run_predict(spark, sales(spark, sf_dir), dataset, model_dir, O.WINDOW_START, O.WINDOW_END, **kw)
 
 
-@register("score_batch")
+@register(
+    "score_batch",
+    O.WINDOW + "SELECT DISTINCT item_id AS item_number, DATE '2000-07-16' AS pred_date, true AS finite FROM padded WHERE last_valid_day <= 30",
+)
 def q_score_batch(spark, sf_dir):
     """Predict job on the window: saved scaler + saved model, one row per item."""
-    dataset, model_dir, _ = trained(spark, sf_dir)
-    preds, _ = predict_plan.run_predict(spark, sales(spark, sf_dir), dataset, model_dir, O.WINDOW_START, O.WINDOW_END)
-    return preds
+    return _predicted(spark, sf_dir).predictions.select("item_number", "pred_date", _finite().alias("finite"))
 
 
-@register("score_append")
+@register(
+    "score_append",
+    O.WINDOW
+    + """
+SELECT DISTINCT item_id AS item_number, DATE '2000-07-16' AS pred_date, CAST(2 AS BIGINT) AS n, true AS finite
+FROM padded WHERE last_valid_day <= 30""",
+)
 def q_score_append(spark, sf_dir):
     """Append the window's predictions twice to a new table and read it back."""
-    dataset, model_dir, _ = trained(spark, sf_dir)
     table = work_path(spark, "predictions")
     for _ in range(2):
-        predict_plan.run_predict(
-            spark, sales(spark, sf_dir), dataset, model_dir, O.WINDOW_START, O.WINDOW_END, out_path=table
+        _predicted(spark, sf_dir, out_path=table)
+    stored = spark.read.schema(scoring.PREDICTION_SCHEMA).parquet(table)
+    return stored.groupBy("item_number", "pred_date").agg(F.count("*").alias("n"), F.bool_and(_finite()).alias("finite"))
+
+
+def _finite():
+    return ~F.isnan("pred_total_packs") & (F.abs("pred_total_packs") < float("inf"))
+
+
+@register(
+    "score_python",
+    O.FULL
+    + """
+SELECT item_id, year, month, DATE '2000-07-16' AS pred_date, last_valid_day > 30 AS failed,
+       CASE WHEN last_valid_day > 30 THEN NULL ELSE CAST(month + cumu_bottles_sold + 2 * daily_bottles_sold + 1 AS DOUBLE) END AS prediction
+FROM padded WHERE day = least(last_valid_day, 30)""",
+)
+def q_score_python(spark, sf_dir):
+    """A Python sequence model through predict_batch_udf, with whole-number weights."""
+    weights = {"month": 1.0, "cumu_bottles_sold": 1.0, "daily_bottles_sold": 2.0}
+    model = scoring.linear_step_model([weights.get(c, 0.0) for c in layout.STEP_FEATURES], 1.0)
+    scored = scoring.score_sequences(prepared(spark, sf_dir), model, _PRED_DATE)
+    return scored.select(*KEYS, "pred_date", F.col("error_class").isNotNull().alias("failed"), F.col("pred_total_packs").cast("double").alias("prediction"))
+
+
+_GOOD_LINES = f"SELECT c.*, k FROM coded c CROSS JOIN {O.TWICE} WHERE c.r NOT IN ({_FAILING}) AND (k = 1 OR c.r = {faults.LIST_LINE})"
+
+
+@register(
+    "conservation",
+    _CODED
+    + f"""
+, counted AS (
+  SELECT count(*) FILTER (WHERE k = 1) AS lines, count(*) FILTER (WHERE k = 1 AND r = 0) AS unread,
+         count(*) FILTER (WHERE r <> 0 AND (k = 1 OR r = {faults.LIST_LINE})) AS elements,
+         count(*) FILTER (WHERE k = 1 AND r IN ({_PREPARE_FAILING})) AS unprepared
+  FROM coded CROSS JOIN {O.TWICE}),
+late AS (SELECT count(*) FILTER (WHERE r = {faults.NO_YEAR}) AS unrouted, count(*) FILTER (WHERE dayofmonth(last_date) = 31) AS unscored FROM ({_GOOD_LINES})),
+stages AS (
+  SELECT 'train' AS job, 'parse' AS stage, lines AS n_in, unread AS n_failed FROM counted
+  UNION ALL SELECT 'train', 'prepare', elements, unprepared FROM counted
+  UNION ALL SELECT 'train', 'validate', elements - unprepared, 0 FROM counted
+  UNION ALL SELECT 'train', 'split', elements - unprepared, unrouted FROM counted, late
+  UNION ALL SELECT 'train', 'export', elements - unprepared - unrouted, 0 FROM counted, late
+  UNION ALL SELECT 'predict', 'parse', lines, unread FROM counted
+  UNION ALL SELECT 'predict', 'prepare', elements, unprepared FROM counted
+  UNION ALL SELECT 'predict', 'validate', elements - unprepared, 0 FROM counted
+  UNION ALL SELECT 'predict', 'score', elements - unprepared, unscored FROM counted, late
+  UNION ALL SELECT 'predict', 'predictions', elements - unprepared - unscored, 0 FROM counted, late)
+SELECT job, stage, CAST(n_in AS BIGINT) AS n_in, CAST(n_failed AS BIGINT) AS n_failed, CAST(n_failed AS BIGINT) AS n_quarantined FROM stages""",
+)
+def q_conservation(spark, sf_dir):
+    """Train and predict jobs on lines with faults: what each stage got, what failed there by the
+    counters, and what lies in quarantine by the tables; the rest is exported or predicted."""
+    lines = read_lines(spark, ndjson_path(spark, sf_dir))
+    dataset = work_path(spark, "conserved")
+    trained_ = run_train(spark, lines, dataset, O.SPLIT_DATE, fmt="parquet")
+    _, model_dir, _ = trained(spark, sf_dir)
+    predicted = predict_plan.run_predict(spark, lines, trained_.fitted, model_dir, O.WINDOW_START, O.WINDOW_END)
+
+    def job(name: str, counts: list[dict], quarantine: DataFrame, last: str, rows: DataFrame) -> DataFrame:
+        told = spark.createDataFrame(
+            [(name, c["stage"], c["n_elements"], c["failed_elements"]) for c in counts], "job string, stage string, n_in long, n_failed long"
         )
-    return spark.read.schema(scoring.PREDICTION_SCHEMA).parquet(table)
+        kept = quarantine.groupBy("stage").agg(F.count("*").alias("n_quarantined"))
+        told = told.join(kept, "stage", "left").select("job", "stage", "n_in", "n_failed", F.coalesce("n_quarantined", F.lit(0)).cast("long").alias("n_quarantined"))
+        zero = F.lit(0).cast("long")
+        end = rows.agg(F.count("*").alias("n_in")).select(F.lit(name).alias("job"), F.lit(last).alias("stage"), "n_in", zero.alias("n_failed"), zero.alias("n_quarantined"))
+        return told.unionByName(end)
+
+    exported = spark.read.parquet(f"{dataset}/examples")
+    return job("train", trained_.counts, spark.read.parquet(f"{dataset}/_quarantine"), "export", exported).unionByName(
+        job("predict", predicted.counts, predicted.quarantine, "predictions", predicted.predictions)
+    )
 
 
 _PRED_DATE = "2000-07-16"
@@ -629,12 +845,6 @@ def q_padded_sequences_window(spark, sf_dir):
     return padded_long_window(raw_samples(sales(spark, sf_dir)))
 
 
-@register("tfrecord_roundtrip", _ROUNDTRIP_SQL)
-def q_tfrecord_roundtrip(spark, sf_dir):
-    """Full train job written as gzip TFRecord shards, then read back."""
-    return _roundtrip(spark, sf_dir, "tfrecord")
-
-
 @register("events_sequences", O.EVENTS + f"SELECT {O.PADDED_COLS} FROM padded")
 def q_events_sequences(spark, sf_dir):
     """Second input shape: the events table, one user = one item (thin sequences)."""

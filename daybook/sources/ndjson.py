@@ -18,9 +18,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+#: A bare not-a-number or infinity where JSON wants a value.
+NOT_FINITE = r"([:\[,]\s*)(NaN|-?Infinity)(?=\s*[,\]}])"
+
+
 def mark_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Stage ``parse``: VARIANT per line plus error columns (one row per line)."""
-    v = F.try_parse_json(F.col(column))
+    """Stage ``parse``: VARIANT per line plus error columns (one row per line).
+
+    Of a key given twice the last value counts. A line that is not strict JSON
+    is read once more with bare ``NaN`` and ``Infinity`` as text, which the
+    number fields read as such; where quoting them would cut a text in two the
+    line stays unread and goes to quarantine.
+    """
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    quoted = F.regexp_replace(F.col(column), NOT_FINITE, '$1"$2"')
+    v = F.coalesce(F.try_parse_json(F.col(column)), F.try_parse_json(quoted))
     bad = v.isNull()
     return lines.select(
         F.col(column).alias("line"),
@@ -31,12 +43,15 @@ def mark_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def explode_elements(marked: DataFrame) -> DataFrame:
-    """Good lines -> one row per element (column ``v``), list lines flattened."""
+    """Good lines -> one row per element (column ``v``, its ``place`` in the line), list lines flattened.
+
+    A line that is an empty list has no element and no row, as in the source.
+    """
     doc = F.col("doc")
     is_list = F.coalesce(F.schema_of_variant(doc).startswith("ARRAY"), F.lit(False))
     items = F.when(is_list, F.variant_get(doc, "$", "array<variant>")).otherwise(F.array(doc))
     ok = marked.where(F.col("error_class").isNull())
-    return ok.select(F.col("line"), F.explode(items).alias("v"))
+    return ok.select(F.col("line"), F.posexplode(items).alias("place", "v"))
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:

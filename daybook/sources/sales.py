@@ -37,14 +37,30 @@ def sales_scan(source: DataFrame, mapping: dict[str, Column | str] | None = None
 
     ``mapping`` names, for each sales column, the source column or expression
     that fills it; unmapped columns are taken by name. Only the mapped
-    columns reach the file scan (Catalyst prunes the rest).
+    columns reach the file scan (Catalyst prunes the rest). A value that does
+    not fit becomes NULL here; ``mark_sales`` keeps it for quarantine.
     """
-    mapping = mapping or {}
-    cols = []
-    for field in SALES_SCHEMA.fields:
-        expr = mapping.get(field.name, field.name)
-        cols.append((F.col(expr) if isinstance(expr, str) else expr).cast(field.dataType).alias(field.name))
-    return source.select(*cols)
+    return source.select(*[c.try_cast(f.dataType).alias(f.name) for f, c in _mapped(mapping)])
+
+
+def _mapped(mapping: dict[str, Column | str] | None) -> list[tuple[T.StructField, Column]]:
+    exprs = [(f, (mapping or {}).get(f.name, f.name)) for f in SALES_SCHEMA.fields]
+    return [(f, F.col(e) if isinstance(e, str) else e) for f, e in exprs]
+
+
+def mark_sales(source: DataFrame, mapping: dict[str, Column | str] | None = None) -> DataFrame:
+    """The sales columns, with error columns and the raw row for values that do not fit their column's type.
+
+    ``quality.good`` gives the lines to use, ``quality.quarantine(…, "scan", "raw")`` the others.
+    """
+    bad = lambda f, c: c.isNotNull() & c.try_cast(f.dataType).isNull()
+    cls, msg = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for f, c in reversed(_mapped(mapping)):
+        cls = F.when(bad(f, c), F.lit("ValueErrors")).otherwise(cls)
+        msg = F.when(bad(f, c), F.lit(f"{f.name} is not a {f.dataType.simpleString()}")).otherwise(msg)
+    typed = [c.try_cast(f.dataType).alias(f.name) for f, c in _mapped(mapping)]
+    raw = F.when(cls.isNotNull(), F.to_json(F.struct("*")))
+    return source.select(*typed, cls.alias("error_class"), msg.alias("error_message"), raw.alias("raw"))
 
 
 def lineitem_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

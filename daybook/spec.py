@@ -32,6 +32,8 @@ ERROR_CLASSES = ["AssertionErrors", "KeyErrors", "TypeErrors", "ValueErrors", "o
 MODEL_TILED_FEATURES = ["item_id", "month", "cost", "retail", "pack_size"]
 MODEL_SEQUENCE_FEATURES = ["cumu_bottles_sold", "daily_bottles_sold", "total_packs_sold"]
 # ---------------------------------------------------------------------------
+# What a per-step model reads: the model's columns without the target.
+STEP_FEATURES = [c for c in MODEL_TILED_FEATURES + MODEL_SEQUENCE_FEATURES if c != TARGET]
 
 
 @dataclass(frozen=True)

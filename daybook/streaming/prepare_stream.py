@@ -22,9 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 from daybook import spec
 from daybook.operators import quality, training
 from daybook.operators.scaling import apply_minmax
-from daybook.operators.scoring import score_mllib, step_inputs
+from daybook.operators.scoring import model_inputs, score_mllib, step_inputs, to_predictions
 from daybook.operators.sequences import prepare_samples
-from daybook.session import work_path
 from daybook.sources import examples
 from daybook.sources.ndjson import explode_elements, mark_lines
 
@@ -47,11 +46,10 @@ def process_batch(
         examples.to_export(good).write.mode("overwrite").parquet(os.path.join(out_dir, "examples", tag))
         bad = quality.quarantine(marked, "parse", "line").unionByName(quality.quarantine(prepared, "prepare", "line"))
         if model_dir:
-            inputs = step_inputs(good, pred_date)
-            score_mllib(training.load(model_dir), inputs).write.mode("overwrite").parquet(
-                os.path.join(out_dir, "predictions", tag)
-            )
-            bad = bad.unionByName(quality.quarantine(inputs, "score"))
+            model = training.load(model_dir)
+            scored = score_mllib(model, step_inputs(good, pred_date, model_inputs(model)))
+            to_predictions(scored).write.mode("overwrite").parquet(os.path.join(out_dir, "predictions", tag))
+            bad = bad.unionByName(quality.quarantine(scored, "score"))
         bad.write.mode("overwrite").parquet(os.path.join(out_dir, "_quarantine", tag))
         prepared.unpersist()
     finally:
@@ -69,13 +67,17 @@ def start_prepare_stream(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is there and stops."""
+    """Start the stream; ``available_now`` processes what is there and stops.
+
+    The checkpoint lies beside the output by default: a second start goes on
+    where the first ended, so no file is processed twice.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     marked = mark_lines(reader.load(json_dir))
     writer = marked.writeStream.foreachBatch(
         lambda df, epoch: process_batch(spark, df, epoch, out_dir, dataset_dir, model_dir, pred_date)
-    ).option("checkpointLocation", checkpoint or work_path(spark, "stream-checkpoint"))
+    ).option("checkpointLocation", checkpoint or os.path.join(out_dir, "_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators import quality
-from daybook.operators.mapping import error_class_of, map_and_quarantine
-from daybook.operators.sequences import prepare_samples
-from daybook.sources.ndjson import parse_lines
+from daybook.operators.mapping import error_class_of, input_count, map_and_quarantine, results
+from daybook.operators.sequences import good_rows, prepare_samples
+from daybook.sources.ndjson import mark_lines, parse_lines
 
 
 def _classes(spark, lines):
@@ -128,3 +128,54 @@ def test_map_and_quarantine_classes(spark):
          ("ok", ""), ("m1", ""), ("m2", "")]
     )
     assert error_class_of(json.JSONDecodeError("x", "y", 0)) == "ValueErrors"
+
+
+def test_results_beside_failures_keep_their_values(spark):
+    import datetime as dt
+
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("d", T.DateType()), T.StructField("a", T.ArrayType(T.LongType()))])
+    big = 9007199254740993
+
+    def fn(x):
+        if x == "bad":
+            raise ValueError("bad")
+        if x == "none":
+            return []
+        if x == "wrong":
+            return {"n": "text"}
+        return [{"n": big, "d": dt.date(2020, 1, 2), "a": [big, None]}] * 3
+
+    df = spark.createDataFrame([(x,) for x in ["bad", "none", "many", "wrong"]], "value string").coalesce(1)
+    out = map_and_quarantine(df, fn, schema, ["value"])
+    assert [tuple(r) for r in results(out).collect()] == [(big, dt.date(2020, 1, 2), [big, None])] * 3
+    counts = quality.error_counts(out, "map", input_count()).first()
+    assert (counts.n_elements, counts.failed_elements, counts.ValueErrors, counts.TypeErrors) == (4, 2, 1, 1)
+
+
+def test_lines_that_python_reads(spark):
+    lines = ['{"a": NaN, "b": [1, -Infinity], "c": "NaN it is"}', '{"a": NaN, "c": "x, NaN]"}', '{"a": 1, "a": 2}', '{"a": nan}', "[1"]
+    marked = mark_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    got = [(F_(r.doc), r.error_class) for r in marked.select(F.to_json("doc").alias("doc"), "error_class").collect()]
+    assert got[0][1] is None and got[0][0]["a"] == "NaN" and got[0][0]["b"] == [1, "-Infinity"]
+    assert got[2] == ({"a": 2}, None) and got[1][1] == got[3][1] == got[4][1] == "ValueErrors"
+
+
+def F_(text):
+    return json.loads(text) if text else None
+
+
+def test_missing_elements_fail_the_validator(spark, samples):
+    good = good_rows(prepare_samples(parse_lines(spark.createDataFrame([(json.dumps(samples[1]),)], "value string"))[0]))
+    holed = good.withColumn("daily_bottles_sold", F.transform("daily_bottles_sold", lambda x, i: F.when(i != 3, x)))
+    assert quality.validate_examples(holed).first().error_message == "68039_2020_6: daily_bottles_sold has a missing element"
+
+
+def test_sales_values_that_do_not_fit(spark):
+    from daybook.sources.sales import SALES_COLUMNS, mark_sales, sales_scan
+
+    rows = [("1", "a", "1.5", "2", "750", "6", "2020-01-02", "3"), ("2", "b", "x", "2", "750", "6", "2020-13-01", "3"), ("3", None, None, "2", "750", "6", "2020-01-02", None)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in SALES_COLUMNS))
+    assert sales_scan(df).where("date IS NULL").count() == 1
+    marked = mark_sales(df).collect()
+    assert [r.error_class for r in marked] == [None, "ValueErrors", None]
+    assert marked[1].error_message == "state_bottle_cost is not a double" and json.loads(marked[1].raw)["date"] == "2020-13-01"

@@ -4,12 +4,13 @@ import datetime as dt
 import json
 
 import numpy as np
-import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from daybook import spec
 from daybook.operators.rollup import raw_samples
-from daybook.operators.sequences import explode_days, good_rows, padded_long_window, prepare_samples
+from daybook.functions.parsing import TableFields
+from daybook.operators.sequences import _running_total, explode_days, good_rows, padded_long_window, prepare_samples
 from daybook.sources.sales import lineitem_sales
 
 from conftest import SF_SMALL
@@ -51,20 +52,23 @@ def test_schema_matches_spec(spark):
     assert types["cumu_bottles_sold"] == "array<double>" and types["item_description"] == "string"
 
 
-def _pandas_oracle(dates, qty, pack):
-    """Independent re-statement of the per-record pandas semantics."""
-    df = pd.DataFrame({"q": np.array(qty, dtype=int), "date": pd.to_datetime(dates), "valid": True})
-    df["cumu"] = df["q"].cumsum()
-    total = df["q"].sum()
-    df["day"] = df["date"].dt.day
-    last = int(df["day"].iloc[-1])
-    df = df.set_index("day").reindex(range(1, 32))
-    df["valid"] = df["valid"].fillna(False)
-    df = df.ffill().bfill()
-    return last, df["q"].astype(float).tolist(), df["cumu"].astype(float).tolist(), df["valid"].astype(int).tolist(), total / pack
+def _by_hand(dates, quantities, pack_size):
+    """The 31 days from their definition: a sale's values hold until the next sale day; the first one's also before it."""
+    sales, so_far = {}, 0
+    for date, quantity in zip(dates, quantities):
+        so_far += int(quantity)
+        sales[int(date[-2:])] = (float(quantity), float(so_far))
+    held = sales[min(sales)]
+    daily, running = [], []
+    for day in range(1, 32):
+        held = sales.get(day, held)
+        daily.append(held[0])
+        running.append(held[1])
+    real = [int(day in sales) for day in range(1, 32)]
+    return int(dates[-1][-2:]), daily, running, real, so_far / pack_size
 
 
-def test_random_sequences_match_pandas(spark):
+def test_random_sequences_by_hand(spark):
     rng = np.random.default_rng(7)
     docs = []
     for i in range(300):
@@ -81,7 +85,7 @@ def test_random_sequences_match_pandas(spark):
     for i, d in enumerate(docs):
         r = rows[i]
         assert r.error_class is None
-        last, q, cumu, valid, target = _pandas_oracle(d["dates_arr"], d["daily_bottles_sold_arr"], d["pack_size"])
+        last, q, cumu, valid, target = _by_hand(d["dates_arr"], d["daily_bottles_sold_arr"], d["pack_size"])
         assert r.last_valid_day == last
         assert r.daily_bottles_sold == q
         assert r.cumu_bottles_sold == cumu
@@ -102,3 +106,40 @@ def test_zero_pack_size_gives_infinite_target(spark, samples):
     doc = dict(samples[1], pack_size=0)
     row = _prepare_json(spark, [doc]).collect()[0]
     assert row.error_class is None and row.total_packs_sold[0] == float("inf")
+
+
+def test_long_lists_take_linear_time_and_sum_right(spark, samples):
+    import time
+
+    def took(n):
+        doc = dict(samples[0], dates_arr=["2012-01-03"] * n, daily_bottles_sold_arr=["1"] * n)
+        start = time.time()
+        row = _prepare_json(spark, [doc]).collect()[0]
+        assert row.error_class == "ValueErrors"  # a day twice; the sums were made before that
+        return time.time() - start
+
+    took(100)
+    took(16000)
+    assert took(16000) < 8
+    rows = spark.range(1).select(_running_total(F.sequence(F.lit(1).cast("bigint"), F.lit(1000).cast("bigint"))).alias("t"), _running_total(F.array().cast("array<bigint>")).alias("e"))
+    row = rows.first()
+    assert row.t == [i * (i + 1) // 2 for i in range(1, 1001)] and row.e == []
+
+
+def test_sum_beyond_64_bits_is_an_error(spark, samples):
+    doc = dict(samples[1], dates_arr=["2020-07-01", "2020-07-02"], daily_bottles_sold_arr=["9223372036854775807", "1"])
+    row = _prepare_json(spark, [doc]).collect()[0]
+    assert row.error_class == "other_errors" and "64 bits" in row.error_message
+
+
+@pytest.mark.parametrize("text,value", [("1.5", 1.5), (" 2e1 ", 20.0), ("+.5", 0.5), ("1.", 1.0), ("inf", float("inf")), ("1.5f", None), ("1.5d", None), ("0x1p3", None), ("", None)])
+def test_numbers_as_text(spark, samples, text, value):
+    row = _prepare_json(spark, [dict(samples[0], cost=text)]).collect()[0]
+    assert (row.cost if row.error_class is None else None) == value
+    typed = spark.createDataFrame([(text,)], "cost string")
+    assert typed.select(TableFields(typed.schema).double_value("cost")).first()[0] == value
+
+
+def test_one_number_as_quantities(spark, samples):
+    row = _prepare_json(spark, [dict(samples[0], daily_bottles_sold_arr=5)]).collect()[0]
+    assert (row.error_class, row.error_message) == ("TypeErrors", "quantities are not a list")
