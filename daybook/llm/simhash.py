@@ -15,8 +15,7 @@ So a fingerprint is replicated to every anchor within the covering radius plus
 its half of the threshold - about 10 anchors a pair of blocks - and any linked
 pair meets at one of them. The factor does not depend on the number of texts.
 
-**Comparison per anchor.** Equal fingerprints are merged first. Anchors with
-one fingerprint drop out. An anchor with more than ``CELL`` fingerprints is cut
+**Comparison per anchor.** Equal fingerprints are merged first. An anchor with more than ``CELL`` fingerprints is cut
 into chunks by hash, every pair of chunks (and each chunk with itself) being
 its own cell, so no task gets an unbounded group. A cell compares all its
 fingerprints with XOR and a population count in numpy and returns a spanning
@@ -204,13 +203,13 @@ def link(prints: DataFrame, name: str, distance: int = DISTANCE) -> DataFrame:
 
     distinct = prints.select(F.col(name).alias("print")).distinct()
     replicas = distinct.mapInPandas(replicate, "key long, print long")
-    sizes = replicas.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    crowded = replicas.join(sizes, "key")
+    crowded = replicas.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CELL)
+    marked = replicas.join(crowded, "key", "left")
     chunks = F.ceil(F.col("n") / CELL).cast("int")
     mine = F.pmod(F.xxhash64("print"), chunks).cast("int")
     # cells of a crowded anchor: one for each unordered pair of its chunks
     cell = F.transform(F.sequence(F.lit(0), chunks - 1), lambda k: F.least(mine, k) * chunks + F.greatest(mine, k))
-    cells = crowded.select("key", "print", F.explode(F.when(F.col("n") <= CELL, F.array(F.lit(0))).otherwise(cell)).alias("part"))
+    cells = marked.select("key", "print", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(cell)).alias("part"))
     dealt = cells.repartition("key", "part").sortWithinPartitions("key", "part")
     return dealt.mapInPandas(compare(distance), "a long, b long").where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
