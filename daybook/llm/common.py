@@ -38,6 +38,14 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def carried(df: DataFrame, **named: str) -> DataFrame:
+    """All columns of ``df`` as one struct ``row``, beside those that a step reads under the names it uses.
+
+    ``select("row.*")`` gives the input's columns back, whatever their names.
+    """
+    return df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), *[col(c).alias(n) for n, c in named.items()])
+
+
 def words(text: Column) -> Column:
     """Maximal runs without blanks, in order; a null or blank text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

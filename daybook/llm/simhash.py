@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import col, fresh, prepared_session, staged, table
+from daybook.llm.common import carried, col, fresh, prepared_session, staged, table
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 CELL, SMALL, PIECE = 4096, 8, 1 << 16
@@ -269,12 +269,12 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     Where an id stands in several rows of a class, or a class has no id, any
     one of those rows stays.
     """
-    marked = classes(docs, doc_id, text, shingle=shingle, distance=distance)
-    first = marked.where(col(doc_id).eqNullSafe(F.col("component_id")))
+    marked = classes(carried(docs, doc_id=doc_id, text=text), keep=["row", "doc_id"], shingle=shingle, distance=distance)
+    first = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     repeated = first.groupBy("class_print").agg(F.count("*").alias("n")).where("n > 1")
     if not repeated.isEmpty():
         first = first.dropDuplicates(["class_print"])
-    return first.select(*[col(c) for c in docs.columns])
+    return first.select("row.*")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,13 @@ def test_encoding_stage_and_run(spark, steps):
 
 def test_odd_rows_run_through(spark, tmp_path):
     rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (2, "a b " * 100, None, None, None), (1, "", "en", "s", 0), (None, "word " * 9, "en", "s", 9)]
-    rows += [(10 + i % 3, " ".join(f"tok{j * (i % 3 + 1)}x" for j in range(90)), "en", "s", 1) for i in range(6)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    rows += [(10 + i % 3, " ".join("tok" + "".join("abcdefghij"[int(x)] for x in str(j * (i % 3 + 1))) for j in range(90)), "en", "s", 1) for i in range(6)]
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(*r, 1, "x", None, "row", 2, 3) for r in rows]
+    clash = "kept int, lang_pred string, leaks string, row string, fingerprint int, bpe int"
+    spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {clash}").write.parquet(f"{tmp_path}/documents.parquet")
+    first = P.staged(P.keep_good(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)), "clash")
+    for stage in (P.keep_known_language, P.keep_one_of_near_copies, P.drop_benchmark_passages):
+        first = stage(spark, first, str(tmp_path))
+    assert {tuple(r)[5:] for r in first.collect()} == {(1, "x", None, "row", 2, 3)}
     assert sorted(r.doc_id for r in P.run(spark, str(tmp_path)).collect()) == [10, 11, 12]
