@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import bpe, decontaminate, langid, quality_rules, simhash
-from daybook.llm.common import col, prepared_session, staged, table
+from daybook.llm.common import carried, prepared_session, staged, table
 
 #: None: expectation-maximisation, language profiles, connected classes and merges have no SQL form.
 ORACLE_SQL = None
@@ -19,12 +19,13 @@ ORACLE_SQL = None
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior probability of being good is at least one half and that pass the base rule."""
-    return quality_rules.judge_quality(docs).where("kept").select(*[col(c) for c in docs.columns])
+    return quality_rules.judge_quality(carried(docs, text="text"), keep=["row"]).where("kept").select("row.*")
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; those without a letter have none."""
-    return langid.identified(docs).where(F.col("lang_pred") != langid.UNKNOWN).select(*[col(c) for c in docs.columns])
+    found = langid.identified(carried(docs, doc_id="doc_id", text="text", lang="lang"))
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +35,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item stands, within its error budget."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("leaks") == 0).select(*[col(c) for c in docs.columns])
+    found = decontaminate.find_leaks(carried(docs, text="text"), table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("leaks") == 0).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
