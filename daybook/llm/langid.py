@@ -40,16 +40,16 @@ CHUNK = 1 << 20
 
 @lru_cache(maxsize=1)
 def letters() -> np.ndarray:
-    """For each code point: is it a letter or a mark that belongs to one?"""
+    """For each code point: is it a letter, or a mark as belongs to one?"""
     return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)])
 
 
 def letter_runs(text: str) -> np.ndarray:
     """Code points of the lower-cased letters; a 1 for each run of others, and at both ends. Empty without a letter."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
-    is_letter = letters()[points]
-    if not is_letter.any():
+    if not any(map(str.isalpha, text)):
         return np.empty(0, np.int64)
+    is_letter = letters()[points]
     runs = np.where(is_letter, points, 1)
     runs = np.concatenate(([1], runs, [1]))
     kept = np.concatenate(([True], (runs[1:] != 1) | (runs[:-1] != 1)))
