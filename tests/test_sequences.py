@@ -1,6 +1,5 @@
 """Golden samples, the pandas oracle on random sequences, array form = window form."""
 
-import datetime as dt
 import json
 
 import numpy as np
