@@ -239,6 +239,18 @@ def per_document(doc: np.ndarray, ints: list[np.ndarray], floats: list[np.ndarra
     return pack(small(there), *[small(total(x).astype(np.int64)) for x in ints], *[total(x) for x in floats])
 
 
+def document_sums(doc: np.ndarray, n: np.ndarray, c: np.ndarray, u: np.ndarray) -> bytes:
+    """A group's sums from one shard; by token: how often, its pair's count, its word's count."""
+    backed = np.where(c == 0, n, 0)
+    log = lambda x: np.log10(np.where(x > 0, x, 1.0))
+    floats = [
+        np.where(c > LOW, n * log(c - EPSILON), 0) + np.where((c == 0) & (u > LOW), n * log(u - EPSILON), 0) - np.where(u > 0, n * log(u), 0),
+        n * np.log10(u + 0.1),
+    ]
+    ints = [n, np.where(u > 0, n, 0), *low(c, n, 1), *low(u, backed, 0), np.where(u > LOW, backed, 0)]
+    return per_document(doc, ints, floats)
+
+
 def count_and_score(spread: np.ndarray, shards: int):
     """A shard of words: its part of every document's sums, its pairs by history, its counts of counts."""
 
@@ -249,11 +261,12 @@ def count_and_score(spread: np.ndarray, shards: int):
             if k == "pair":
                 w, runs, h, doc, count = unpack(b)
                 parts.append(p)
-                cols.append((np.repeat(w, runs.astype(np.int64)), h, doc.astype(np.int64), count.astype(np.int64)))
+                cols.append((np.repeat(w, runs.astype(np.int64)), h, doc.astype(np.int32), count.astype(np.int32)))
         if not cols:
             return out
         sizes = [len(c[1]) for c in cols]
         w, h, doc, n = (np.concatenate([c[i] for c in cols]) for i in range(4))
+        del cols
         order = np.lexsort((h, w))
         ws, hs, taught = w[order], h[order], (n * (doc & 1))[order]
         pair, word = starts_of(ws, hs), starts_of(ws)
@@ -263,20 +276,16 @@ def count_and_score(spread: np.ndarray, shards: int):
         is_spread = (codes >= END) & (codes < len(spread))
         c_word = np.where(is_spread, spread[np.clip(codes, 0, len(spread) - 1)], c_word)
         pair_size, word_size = np.diff(np.append(pair, len(ws))), np.diff(np.append(word, len(ws)))
+        del w
         c, u = np.empty(len(ws), np.int64), np.empty(len(ws), np.int64)
         c[order], u[order] = np.repeat(c_pair, pair_size), np.repeat(c_word, word_size)
-        backed = np.where(c == 0, n, 0)
-        log = lambda x: np.log10(np.where(x > 0, x, 1.0))
-        floats = [
-            np.where(c > LOW, n * log(c - EPSILON), 0) + np.where((c == 0) & (u > LOW), n * log(u - EPSILON), 0) - np.where(u > 0, n * log(u), 0),
-            n * np.log10(u + 0.1),
-        ]
-        ints = [n, np.where(u > 0, n, 0), *low(c, n, 1), *low(u, backed, 0), np.where(u > LOW, backed, 0)]
+        del order, taught
         at = 0
         for p, size in zip(parts, sizes):
             part = slice(at, at + size)
-            out.append(("document", 0, p, per_document(doc[part] >> 1, [x[part] for x in ints], [x[part] for x in floats]), b""))
+            out.append(("document", 0, p, document_sums(doc[part] >> 1, n[part], c[part], u[part]), b""))
             at += size
+        backed = np.where(c == 0, n, 0)
         # pairs seen, to their history's shard
         known = c_pair > 0
         ph, pw, pc = hs[pair][known], ws[pair][known], c_pair[known]
@@ -425,12 +434,12 @@ def score_documents(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", te
     """
     spark = prepared_session(docs.sparkSession)
     model = model or work_path(spark, "katz")
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # two small shards a task instead of a large one
     ids = col(doc_id).cast("long")
     slim = docs.select(F.coalesce(ids, F.lit(0)).alias("doc_id"), ids.isNotNull().alias("known"), col(text).alias("text"), F.coalesce(teaches, F.lit(False)).alias("teaches"))
     hot = spark.sparkContext.broadcast(hot_words(slim, sample))
     frequent = spread_counts(slim, hot, spread)
-    dealt = slim.mapInPandas(deal(hot, spread, shards), ROWS).repartition(shards, "shard").sortWithinPartitions("shard")
+    dealt = slim.mapInPandas(deal(hot, spread, shards), ROWS).repartition("shard").sortWithinPartitions("shard")
     dealt.mapInPandas(count_and_score(frequent, shards), ROWS).write.partitionBy("kind").parquet(f"{model}/counts")
     counts = spark.read.schema(ROWS).parquet(f"{model}/counts")
     unigrams, bigrams = totals(frequent), np.zeros(LOW + 3, np.int64)
@@ -439,7 +448,7 @@ def score_documents(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", te
         one, two = unpack(bytes(r.blob))
         unigrams, bigrams = unigrams + one, bigrams + two
     d = Discounts(unigrams, bigrams)
-    histories = counts.where("kind IN ('bigram', 'miss')").select("kind", "shard", "blob").repartition(shards, "shard").sortWithinPartitions("shard")
+    histories = counts.where("kind IN ('bigram', 'miss')").select("kind", "shard", "blob").repartition("shard").sortWithinPartitions("shard")
     histories.mapInPandas(back_off(d), ROWS).write.partitionBy("kind").parquet(f"{model}/weights")
     weights = spark.read.schema(ROWS).parquet(f"{model}/weights")
     sums = counts.where("kind IN ('document', 'group')").select("kind", "part", "blob").unionByName(weights.where("kind = 'document'").select("kind", "part", "blob"))
