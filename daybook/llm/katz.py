@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from daybook.llm.common import col, prepared_session, table
 from daybook.session import work_path
 
-HOT, SPREAD, SAMPLE, FLUSH, LOW, EPSILON = 1 << 18, 4096, 64, 1 << 20, 5, 0.01
+HOT, SPREAD, SAMPLE, FLUSH, SHARD, LOW, EPSILON = 1 << 18, 4096, 64, 1 << 20, 1 << 20, 5, 0.01
 START, END, FIRST = 0, 1, 2
 ROWS = "kind string, shard int, part long, blob binary, words binary"
 INTS = 2 + LOW + 2 + LOW  # n, known, seen once to five times, unseen word, backed off to 1..5, to more
@@ -128,17 +128,19 @@ def hot_words(docs: DataFrame, sample: int) -> list[bytes]:
     return [bytes(r.w) for r in rows]
 
 
-def spread_counts(docs: DataFrame, hot, spread: int) -> np.ndarray:
-    """Training counts of the end and of the ``spread`` first hot words, by code."""
+def spread_counts(docs: DataFrame, hot, spread: int) -> tuple[np.ndarray, int]:
+    """Training counts of the end and of the ``spread`` first hot words, by code; number of all tokens."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = {w: i + FIRST for i, w in enumerate(hot.value[:spread])}
         total = np.zeros(spread + FIRST, np.int64)
         for batch in batches:
             for t, teaches in zip(batch["text"], batch["teaches"]):
+                words = words_of(t)
+                total[START] += len(words) + 1
                 if teaches:
                     total[END] += 1
-                    for w, n in Counter(words_of(t)).items():
+                    for w, n in Counter(words).items():
                         if (code := own.get(w)) is not None:
                             total[code] += n
         at = np.flatnonzero(total)
@@ -148,7 +150,8 @@ def spread_counts(docs: DataFrame, hot, spread: int) -> np.ndarray:
     out = np.zeros(spread + FIRST, np.int64)
     for r in rows:
         out[r.code] = r.n
-    return out
+    tokens, out[START] = int(out[START]), 0
+    return out, tokens
 
 
 # ------------------------------------------------------- first exchange: by word
@@ -434,12 +437,12 @@ def score_documents(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", te
     """
     spark = prepared_session(docs.sparkSession)
     model = model or work_path(spark, "katz")
-    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # two small shards a task instead of a large one
     ids = col(doc_id).cast("long")
     slim = docs.select(F.coalesce(ids, F.lit(0)).alias("doc_id"), ids.isNotNull().alias("known"), col(text).alias("text"), F.coalesce(teaches, F.lit(False)).alias("teaches"))
     hot = spark.sparkContext.broadcast(hot_words(slim, sample))
-    frequent = spread_counts(slim, hot, spread)
-    dealt = slim.mapInPandas(deal(hot, spread, shards), ROWS).repartition("shard").sortWithinPartitions("shard")
+    frequent, tokens = spread_counts(slim, hot, spread)
+    shards = max(4, -(-tokens // SHARD))  # by the size of the text: a shard is what one task holds at once
+    dealt = slim.mapInPandas(deal(hot, spread, shards), ROWS).repartition(shards, "shard").sortWithinPartitions("shard")
     dealt.mapInPandas(count_and_score(frequent, shards), ROWS).write.partitionBy("kind").parquet(f"{model}/counts")
     counts = spark.read.schema(ROWS).parquet(f"{model}/counts")
     unigrams, bigrams = totals(frequent), np.zeros(LOW + 3, np.int64)
@@ -448,7 +451,7 @@ def score_documents(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", te
         one, two = unpack(bytes(r.blob))
         unigrams, bigrams = unigrams + one, bigrams + two
     d = Discounts(unigrams, bigrams)
-    histories = counts.where("kind IN ('bigram', 'miss')").select("kind", "shard", "blob").repartition("shard").sortWithinPartitions("shard")
+    histories = counts.where("kind IN ('bigram', 'miss')").select("kind", "shard", "blob").repartition(shards, "shard").sortWithinPartitions("shard")
     histories.mapInPandas(back_off(d), ROWS).write.partitionBy("kind").parquet(f"{model}/weights")
     weights = spark.read.schema(ROWS).parquet(f"{model}/weights")
     sums = counts.where("kind IN ('document', 'group')").select("kind", "part", "blob").unionByName(weights.where("kind = 'document'").select("kind", "part", "blob"))
