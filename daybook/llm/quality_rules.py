@@ -20,6 +20,7 @@ output are replaced.
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,7 @@ STEPS, SETTLED = 25, 1e-6
 #: A rule votes good on at least this share of the good documents that it votes on.
 PRECISE = 0.98
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+MEASURES = [*STATS, "n_lines", "capitals", "letters", "n_shouts"]
 
 
 def repeated_words(w: Column) -> Column:
@@ -111,15 +113,14 @@ RULES = [
 
 def votes(stats: str, rules: list[Rule]) -> Column:
     """Array of the rules' votes on the statistics struct column ``stats``, in order."""
-    named = lambda sql: F.expr(f"exists(array(`{stats}`), s -> {sql_on('s', sql)})")
-    return F.array(*[F.when(named(r.bad), -1).when(named(r.good), 1).otherwise(0).cast("tinyint") for r in rules])
+    # a lambda's variable stands for the struct, so that it is read and not computed anew for each rule
+    holds = lambda condition: F.expr(f"exists(array(`{stats}`), s -> {of_struct('s', condition)})")
+    return F.array(*[F.when(holds(r.bad), -1).when(holds(r.good), 1).otherwise(0).cast("tinyint") for r in rules])
 
 
-def sql_on(var: str, condition: str) -> str:
-    import re
-
-    names = [*STATS, "n_lines", "capitals", "letters", "n_shouts"]
-    return re.sub(r"\b(" + "|".join(names) + r")\b", rf"{var}.\1", condition)
+def of_struct(variable: str, condition: str) -> str:
+    """The condition with each statistic read from the struct ``variable``."""
+    return re.sub(r"\b(" + "|".join(MEASURES) + r")\b", rf"{variable}.\1", condition)
 
 
 def posterior(v: Column, prior: float, accuracy: list[tuple[float, float]]) -> Column:
