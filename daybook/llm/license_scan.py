@@ -117,7 +117,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: list[str] | None =
     phrases = PHRASES if phrases is None else phrases
     step = known.step
     own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in OUTPUTS]
-    name = fresh(docs, "license_row")
+    name, digest, hits_ = fresh(docs, "license_row"), fresh(docs, "license_digest"), fresh(docs, "license_hits")
 
     def measured(w: Column) -> Column:
         joined = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
@@ -129,9 +129,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: list[str] | None =
         blocks = bind(hits, lambda h: F.transform(firsts(h), known_words))
         return F.struct(F.size(w).cast("long").alias("n_words"), places.alias("places"), blocks.alias("blocks"))
 
-    marked = docs.select(*[col(c) for c in own], F.sha2(F.coalesce(col(text), F.lit("")), 256).alias("digest_"), bind(license_words(col(text)), measured).alias(name))
-    rows = staged(marked.withColumnRenamed("digest_", fresh(docs, "license_digest")), "license-blocks")
-    digest, r = fresh(docs, "license_digest"), F.col(name)
+    marked = docs.select(*[col(c) for c in own], F.sha2(F.coalesce(col(text), F.lit("")), 256).alias(digest), bind(license_words(col(text)), measured).alias(name))
+    rows, r = staged(marked, "license-blocks"), F.col(name)
 
     # block x template, by the words of the templates' prefixes
     ranks = F.create_map(*[F.lit(x) for p in known.rank.items() for x in p]) if known.rank else F.create_map().cast("map<string,int>")
@@ -145,18 +144,21 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep: list[str] | None =
     pairs = pairs.select("d", "block", "t", "label", "t_ranks", "need").distinct()
     overlap = F.size(F.array_intersect("block", "t_ranks"))
     matches = pairs.where(overlap >= F.col("need")).select("d", "label", (overlap / F.size("t_ranks")).alias("share"))
-    found = matches.groupBy(F.col("d").alias(digest)).agg(F.collect_set("label").alias("found_"), F.max("share").alias("share_"))
+    found = matches.groupBy("d").agg(F.collect_set("label").alias("labels"), F.max("share").alias("share"))
+    found = found.select(F.col("d").alias(digest), F.struct("labels", "share").alias(hits_))
+    # written first: a join that reads both sides anew can split the partition of a text with many copies
+    found = staged(found, "license-hits")
 
     all_places = F.flatten(r["places"])
     labelled = [F.when(F.size(r["places"][k]) > 0, F.lit(label)) for k, (_, label) in enumerate(phrases)]
     base = F.array_distinct(F.filter(F.array(*labelled), lambda x: x.isNotNull())) if labelled else F.array().cast("array<string>")
     listed = lambda a: F.array_join(F.sort_array(a), ",")
-    both = F.array_distinct(F.concat(base, F.coalesce(F.col("found_"), F.array().cast("array<string>"))))
+    both = F.array_distinct(F.concat(base, F.coalesce(F.col(hits_)["labels"], F.array().cast("array<string>"))))
     return rows.join(found, digest, "left").select(
         *[col(c) for c in own], r["n_words"].alias("n_words"), F.size(all_places).cast("long").alias("n_base"),
         F.array_min(all_places).cast("long").alias("first_word"), F.array_max(all_places).cast("long").alias("last_word"),
         listed(base).alias("base_labels"), listed(both).alias("labels"),
-        F.when(F.size(all_places) > 0, F.lit(1.0)).otherwise(F.coalesce("share_", F.lit(0.0))).alias("score"),
+        F.when(F.size(all_places) > 0, F.lit(1.0)).otherwise(F.coalesce(F.col(hits_)["share"], F.lit(0.0))).alias("score"),
     )
 
 
