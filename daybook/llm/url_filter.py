@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import ascii_lower, col, fresh, table
+from daybook.llm.common import ascii_lower, col, fresh, prepared_session, staged, table
 
 #: The rules of the query (host, path, verdict).
 RULES = [
@@ -88,6 +88,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     h, p = fresh(pages, "url_host"), fresh(pages, "url_path")
     left = pages.select(*[col(c) for c in keep], host_of(col(url)).alias(h), path_of(col(url)).alias(p))
     verdicts = judge(left.select(F.col(h).alias("host"), F.col(p).alias("path")).distinct(), rules, default)
+    # written first: a join that reads both sides anew can split the partition of a url with many rows
+    prepared_session(pages.sparkSession)
+    verdicts = staged(verdicts, "url-verdicts")
     joined = left.join(verdicts, (F.col(h) == F.col("host")) & (F.col(p) == F.col("path")))
     return joined.select(*[col(c) for c in keep], "host", "path", "rule", "verdict")
 
