@@ -67,7 +67,7 @@ def main() -> None:
     base = os.path.join(scratch, "model-run")
     dataset, model_dir = predict_plan.model_paths(base)
     run_train(spark, sales(), dataset, "2000-01-01")
-    predict_plan.run_fit(spark, dataset, model_dir)
+    predict_plan.run_fit(spark, dataset, model_dir, num_features=1 << 17)  # narrow: the fit itself is not timed
     fitted, model = examples.load_minmax(spark, dataset), training.load(model_dir)
 
     def score_job():
