@@ -8,8 +8,8 @@ start as its history. With c training counts, r a count and d its discount:
              = P(w)                       if neither was
     P(w)     = d(c(w)) c(w) / N           for a seen word; the rest of the mass is one unseen word's
 
-Counts up to 5 are discounted by Good-Turing with Katz's correction, (r - 1/2)/r
-where counts of counts do not allow it. Larger counts give up ``EPSILON`` of a
+Counts up to 5 are discounted by Good-Turing with Katz's correction, each r whose
+counts of counts do not allow it by their log-linear fit (``discounted``). Larger counts give up ``EPSILON`` of a
 count, so every history leaves some mass and alpha(h), the mass left over
 divided by the unigram mass of unseen words, makes P(. | h) sum to one exactly.
 
@@ -329,18 +329,24 @@ def totals(counts: np.ndarray) -> np.ndarray:
 
 
 def discounted(t: np.ndarray) -> np.ndarray:
-    """r d(r) for r from 0 to 5, from ``totals``; r of 0 is 0."""
+    """r d(r) for r from 0 to 5, from ``totals``; r of 0 is 0.
+
+    A count r whose own Good-Turing discount lies outside (0, 1) takes that of
+    the log-linear fit of the counts of counts (as in Simple Good-Turing), the
+    others keep theirs. (r - 1/2)/r is left for a level where one of n(1) to
+    n(6) is none, and for an r to which the fit gives no discount either.
+    """
     n = t[1:].astype(float)  # n[r]: how many counts equal r, from 1 to 6
-    plain = np.array([0.0] + [r - 0.5 for r in range(1, LOW + 1)])
+    r = np.arange(1, LOW + 1)
+    plain = (r - 0.5) / r
     if (n[1:] <= 0).any():
-        return plain
-    a = (LOW + 1) * n[LOW + 1] / n[1]
-    if a >= 1:
-        return plain
-    d = np.array([0.0] + [((r + 1) * n[r + 1] / (r * n[r]) - a) / (1 - a) for r in range(1, LOW + 1)])
-    if (d[1:] <= 0).any() or (d[1:] >= 1).any():
-        return plain
-    return d * np.arange(LOW + 1)
+        return np.append(0.0, plain * r)
+    katz = lambda turing, a: (turing - a) / (1 - a) if a < 1 else np.zeros(LOW)
+    valid = lambda d: (d > 0) & (d < 1)
+    slope = np.polyfit(np.log(np.arange(1, LOW + 2)), np.log(n[1:]), 1)[0]
+    own = katz((r + 1) * n[2:] / (r * n[1:-1]), (LOW + 1) * n[LOW + 1] / n[1])
+    fit = katz((1 + 1 / r) ** (slope + 1), (LOW + 1) ** (slope + 1))
+    return np.append(0.0, np.where(valid(own), own, np.where(valid(fit), fit, plain)) * r)
 
 
 class Discounts:
