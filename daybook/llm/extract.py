@@ -82,19 +82,20 @@ class Page:
         return len(self.tag) - 1
 
 
-def attribute_tokens(raw: str) -> tuple[list[str], int | None]:
+def attribute_tokens(raw: str, labelled: bool) -> tuple[list[str], int | None]:
     tokens, label = [], None
     for name, value in ATTR.findall(raw):
         name = name.lower()
         if name in ("class", "id", "role", "itemprop"):
             spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", value.strip("\"'"))
             tokens += re.findall(r"[a-z]+", spaced.lower())
-        elif name == "data-label":
+        elif labelled and name == "data-label":
             label = int(value.strip("\"'"))
     return tokens, label
 
 
-def parse(source: str) -> Page:
+def parse(source: str, labelled: bool = True) -> Page:
+    """Tree of a page. ``labelled`` is for generated layouts: on an input page data-label may be anything and is not read."""
     page = Page()
     open_ = [page.add("#root", -1, [], None, None)]
     at, end, hidden = 0, len(source), 0
@@ -137,7 +138,7 @@ def parse(source: str) -> Page:
                     break
                 if t in SCOPE:
                     break
-        tokens, label = attribute_tokens(m.group(3)) if m.group(3) else ([], None)
+        tokens, label = attribute_tokens(m.group(3), labelled) if m.group(3) else ([], None)
         node = page.add(name, open_[-1], tokens, None, label)
         if name in VOID or m.group(3).endswith("/") and name not in INLINE | SCOPE | {"p"}:
             continue
@@ -336,7 +337,7 @@ def fit(pages: DataFrame, html: str = "html", train_pages: int = TRAIN_PAGES) ->
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for source_, h in zip(batch["html"], batch["h"]):
-                words = " ".join(t for t in parse(source_).text if t).split()[:4000]
+                words = " ".join(t for t in parse(source_, labelled=False).text if t).split()[:4000]
                 for k in range(LAYOUTS if words else 0):
                     page = parse(layout(random.Random(int(h) * 31 + k), words))
                     yield pd.DataFrame({"x": list(features(page).astype(float)), "label": labels(page)})
@@ -398,7 +399,7 @@ def extract(pages: DataFrame, forest: Forest | None, html: str = "html") -> Data
             out = []
             values = part.tolist()
             for at in range(0, len(values), 64):
-                parsed = [parse(v) if v else None for v in values[at : at + 64]]
+                parsed = [parse(v, labelled=False) if v else None for v in values[at : at + 64]]
                 found = [features(p) for p in parsed if p is not None]
                 odds = trees.probability(np.concatenate(found)) if trees and found else np.zeros(sum(map(len, found)))
                 start = 0

@@ -93,6 +93,15 @@ def test_odd_pages(spark, forest):
     assert all(r.text == "" for r in got if not r.html or r.html.isspace())
 
 
+def test_input_pages_may_have_any_data_label(spark, forest):
+    body = "<body><div class=menu><a href=/>home</a></div><article><p>" + "long text, really. " * 20 + "</p><table><tr><td{}>1</td></tr></table></article></body>"
+    rows = [(i, body.format(a)) for i, a in enumerate(["", ' data-label="Price"', " data-label", ' data-label=""', ' data-label="0"', ' data-label="1"'])]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    got = X.extract(df, forest).collect()
+    assert len(got) == len(rows) and len({r.text for r in got}) == 1 and "long text" in got[0].text
+    assert X.fit(df) is not None
+
+
 def test_nothing_to_train_on(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert X.fit(empty) is None
