@@ -36,13 +36,20 @@ class Plain:
 
     @staticmethod
     def discount(counts):
-        n = Counter(counts.values())
+        """Good-Turing's own share of each count; the fit's where that is not in (0, 1); (r - 1/2)/r without a fit."""
+        by = Counter(counts.values())
+        n = [by[r] for r in range(1, 7)]
         plain = {r: (r - 0.5) / r for r in range(1, 6)}
-        if any(n[r] == 0 for r in range(1, 7)) or 6 * n[6] >= n[1]:
+        if 0 in n:
             return plain
-        a = 6 * n[6] / n[1]
-        d = {r: ((r + 1) * n[r + 1] / (r * n[r]) - a) / (1 - a) for r in range(1, 6)}
-        return d if all(0 < x < 1 for x in d.values()) else plain
+        slope = np.polyfit(np.log(range(1, 7)), np.log(n), 1)[0] + 1
+        out = {}
+        for r in range(1, 6):
+            a, b = 6 * n[5] / n[0], 6.0**slope
+            own = ((r + 1) * n[r] / (r * n[r - 1]) - a) / (1 - a) if a < 1 else 0
+            fit = ((1 + 1 / r) ** slope - b) / (1 - b) if b < 1 else 0
+            out[r] = next(float(x) for x in (own, fit, plain[r]) if 0 < x < 1)
+        return out
 
     @staticmethod
     def kept(c, d):

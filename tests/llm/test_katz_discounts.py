@@ -3,7 +3,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from test_katz import Plain, taught
 
 from daybook.llm import katz as K
 
@@ -39,29 +38,6 @@ def test_good_turing_is_in_force_on_the_table(spark):
         assert got[3] == pytest.approx(((5 / 4) ** slope - 6**slope) / (1 - 6**slope))
 
 
-class Smoothed(Plain):
-    """The definition with one count's discount at most from the fit."""
-
-    @staticmethod
-    def discount(counts):
-        by = Counter(counts.values())
-        n = [by[r] for r in range(1, 7)]
-        slope = np.polyfit(np.log(range(1, 7)), np.log(n), 1)[0] + 1
-        fit = [((1 + 1 / r) ** slope - 6**slope) / (1 - 6**slope) for r in range(1, 6)]
-        return {r: float(x if 0 < x < 1 else y) for r, x, y in zip(range(1, 6), own(n), fit)}
-
-
-def test_query_equals_the_definition(spark):
-    from daybook.llm.registry import queries
-
-    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
-    got = {r.doc_id: r for r in queries()["op2_katz"](spark, SF).collect()}
-    plain = Smoothed([d.text for d in docs if taught(d.doc_id)])
-    assert len(got) == len(docs)
-    for d in docs[::25]:
-        assert got[d.doc_id].score == pytest.approx(plain.row(d.text)[4], rel=1e-9)
-
-
 def test_one_count_does_not_change_the_others():
     below, above = [10000, 3000, 1500, 900, 700, 450], [10000, 3000, 1500, 900, 740, 450]
     assert own(below)[3] < 1 < own(above)[3]
