@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from daybook.llm import bpe, decontaminate, extract, katz, langid, license_scan, merkle, perplexity, quality_rules, simhash, url_filter
+from daybook.llm import bpe, decontaminate, divergence, extract, katz, langid, license_scan, merkle, perplexity, quality_rules, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_langid": langid.op9,
         "op10_license_scan": license_scan.op10,
         "op11_merkle": merkle.op11,
+        "op12_divergence": divergence.op12,
     }
 
 
@@ -32,5 +33,6 @@ def oracle_sql() -> dict[str, str]:
         "pipeline": corpus_pipeline.ORACLE_SQL,
         "op6_url_filter": url_filter.OP6_SQL,
         "op11_merkle": merkle.OP11_SQL,
+        "op12_divergence": divergence.OP12_SQL,
     }
     return {k: v for k, v in sql.items() if v is not None}
