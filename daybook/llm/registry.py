@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from daybook.llm import bpe, decontaminate, divergence, extract, katz, langid, license_scan, merkle, perplexity, quality_rules, simhash, url_filter
+from daybook.llm import bpe, decontaminate, divergence, extract, katz, langid, license_scan, merkle, perplexity, quality_rules, simhash, suffix_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_license_scan": license_scan.op10,
         "op11_merkle": merkle.op11,
         "op12_divergence": divergence.op12,
+        "op13_suffix_dedup": suffix_dedup.op13,
     }
 
 
