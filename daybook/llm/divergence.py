@@ -16,8 +16,8 @@ square of sums for a tile of ``TILE`` sources against another.
 
 Bounds: a block holds ``BLOCK`` postings and one text's words; a merge reads
 ``FAN_IN`` runs of a shard, and where there are more they are merged in
-rounds, so a term that every run holds is summed up before its shard sees it; shards
-grow with the input's partitions. Nothing of the corpus passes through the
+rounds, so a term that every run holds is summed up before its shard sees it; there is a shard for
+each ``SHARD`` bytes of text. Nothing of the corpus passes through the
 driver but the number of runs.
 
 Defined results: null text, language and source are empty ones. Repeated rows
@@ -36,6 +36,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +47,11 @@ from pyspark.sql import functions as F
 from daybook.llm.common import col, prepared_session, staged, table
 
 MIN_DOCS, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
-BLOCK, CHUNK, FAN_IN, TILE, TERMS = 400_000, 1 << 22, 256, 256, 4096
+BLOCK, CHUNK, SHARD, FAN_IN, TILE, TERMS = 400_000, 1 << 22, 1 << 24, 256, 256, 4096
 #: Terms are runs of ASCII letters and all beyond ASCII, A-Z lower-cased: everything else becomes a blank.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
-RUN = "lang string, source string, shard int, run long, terms array<binary>, n array<long>, docs array<long>"
+RUN = "lang string, shard int, run long, names array<string>, terms array<binary>, source array<int>, n array<long>, docs array<long>"
+LISTS = {"names": pa.string(), "terms": pa.binary(), "source": pa.int32(), "n": pa.int64(), "docs": pa.int64()}
 
 
 def pieces(text: bytes) -> Iterator[list[bytes]]:
@@ -81,20 +83,29 @@ class Block:
         self.held += len(n) - before
 
     def spill(self, run: int, shards: int) -> Iterator[pa.RecordBatch]:
-        """The block as one run: a row for each group and shard, terms in order."""
-        for (lang, source), (n, docs) in self.groups.items():
-            n.pop(b"", None)
-            terms = sorted(n)
-            shard = np.array([zlib.crc32(t) for t in terms], np.int64) % shards
-            order = np.argsort(shard, kind="stable")
-            held, sizes = np.unique(shard, return_counts=True)
-            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, a.take(pa.array(order))) for a in (
-                pa.array(terms, pa.binary()), pa.array([n[t] for t in terms], pa.int64()), pa.array([docs[t] for t in terms], pa.int64()))]
-            k = len(held)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), pa.array(held, pa.int32()), pa.array([run] * k, pa.int64()), *lists],
-                names=["lang", "source", "shard", "run", "terms", "n", "docs"])
+        """The block as one run: a row for each language and shard, its postings in order of term and source."""
+        for lang in {lang for lang, _ in self.groups}:
+            names = [source for other, source in self.groups if other == lang]
+            parts = []
+            for k, source in enumerate(names):
+                n, docs = self.groups[lang, source]
+                n.pop(b"", None)
+                terms = list(n)
+                shard = np.array([zlib.crc32(t) for t in terms], np.int64) % shards
+                parts.append(pa.table({"shard": pa.array(shard, pa.int32()), "terms": pa.array(terms, pa.binary()), "source": pa.array([k] * len(terms), pa.int32()),
+                                       "n": pa.array(n.values(), pa.int64()), "docs": pa.array([docs[t] for t in terms], pa.int64())}))
+            postings = pa.concat_tables(parts).sort_by([("shard", "ascending"), ("terms", "ascending"), ("source", "ascending")]).combine_chunks()
+            held, sizes = np.unique(postings["shard"].to_numpy(), return_counts=True)
+            rows = zip(held.tolist(), np.cumsum(sizes) - sizes, sizes)
+            yield from (run_row(lang, shard, run, names, postings.slice(at, size)) for shard, at, size in rows)
+
+
+def run_row(lang: str, shard: int, run: int, names: list[str], postings: pa.Table) -> pa.RecordBatch:
+    lists = [pa.array([names], pa.list_(pa.string()))]
+    for c in list(LISTS)[1:]:
+        values = postings[c].combine_chunks() if postings[c].num_chunks != 1 else postings[c].chunk(0)
+        lists.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
+    return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([shard], pa.int32()), pa.array([run], pa.int64()), *lists], names=["lang", "shard", "run", *LISTS])
 
 
 def runs_of(docs: DataFrame, shards: int, block: int = BLOCK) -> DataFrame:
@@ -113,28 +124,34 @@ def runs_of(docs: DataFrame, shards: int, block: int = BLOCK) -> DataFrame:
     return docs.mapInArrow(index, RUN)
 
 
-def entries(segment: int, terms: pa.Array, n: pa.Array, docs: pa.Array) -> Iterator[tuple[bytes, int, int, int]]:
+def entries(row: int, lists: list[pa.ListScalar]) -> Iterator[tuple[bytes, int, int, int, int]]:
+    """A run's postings (term, row, source, occurrences, documents), a few at a time."""
+    terms, *rest = [x.values for x in lists]
     for at in range(0, len(terms), 512):
         part = slice(at, at + 512)
-        yield from zip(terms[part].to_pylist(), repeat(segment), n[part].to_pylist(), docs[part].to_pylist())
+        yield from zip(terms[part].to_pylist(), repeat(row), *[c[part].to_pylist() for c in rest])
 
 
-def merged(rows: pa.Table) -> Iterator[tuple[bytes, Iterator[tuple[bytes, int, int, int]]]]:
-    """Terms in order, each with its entries (term, row, occurrences, documents), by a heap over the sorted rows."""
-    lists = zip(rows["terms"], rows["n"], rows["docs"])
-    return groupby(heapq.merge(*[entries(k, t.values, n.values, d.values) for k, (t, n, d) in enumerate(lists)]), key=lambda e: e[0])
+def merged(rows: pa.Table) -> Iterator[tuple[bytes, Iterator[tuple[bytes, int, int, int, int]]]]:
+    """Terms in order, each with its postings, by a heap over the runs."""
+    runs = [entries(k, [rows[c][k] for c in list(LISTS)[1:]]) for k in range(len(rows))]
+    return groupby(heapq.merge(*runs), key=itemgetter(0))
 
 
 def one_run(key: tuple, rows: pa.Table) -> pa.Table:
-    """Several runs' parts of a group and shard as one."""
-    terms, n, docs = [], [], []
+    """Several runs' parts of a shard as one."""
+    names: dict[str, int] = {}
+    own = [[names.setdefault(s, len(names)) for s in row] for row in rows["names"].to_pylist()]
+    postings = []
     for term, found in merged(rows):
-        a, b = zip(*[e[2:] for e in found])
-        terms.append(term)
-        n.append(sum(a))
-        docs.append(sum(b))
-    return pa.table({"lang": rows["lang"][:1], "source": rows["source"][:1], "shard": rows["shard"][:1], "run": pa.array([key[3].as_py()], pa.int64()),
-                     "terms": pa.array([terms], pa.list_(pa.binary())), "n": pa.array([n], pa.list_(pa.int64())), "docs": pa.array([docs], pa.list_(pa.int64()))})
+        n, docs = Counter(), Counter()
+        for _, row, source, a, b in found:
+            n[own[row][source]] += a
+            docs[own[row][source]] += b
+        postings += [(term, k, n[k], docs[k]) for k in sorted(n)]
+    columns = zip(*postings) if postings else [()] * 4
+    table_ = pa.table({c: pa.array(v, LISTS[c]) for c, v in zip(list(LISTS)[1:], columns)})
+    return pa.Table.from_batches([run_row(key[0].as_py(), key[1].as_py(), key[2].as_py(), list(names), table_)])
 
 
 def frequencies(runs: DataFrame, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN) -> DataFrame:
@@ -143,17 +160,19 @@ def frequencies(runs: DataFrame, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN)
     while many > fan_in:
         many = -(-many // fan_in)
         joint = F.pmod(F.xxhash64("run"), F.lit(many)).alias("joint")
-        runs = staged(runs.groupBy("lang", "source", "shard", joint).applyInArrow(one_run, RUN), "divergence-runs")
+        runs = staged(runs.groupBy("lang", "shard", joint).applyInArrow(one_run, RUN), "divergence-runs")
 
     def gather(key: tuple, rows: pa.Table) -> pa.Table:
-        names = rows["source"].to_pylist()
+        names = rows["names"].to_pylist()
         terms, sources, counts = [], [], []
         for term, found in merged(rows):
-            held, docs = Counter(), 0
-            for _, segment, n, d in found:
-                held[names[segment]] += n
-                docs += d
+            found, docs = list(found), 0
+            for posting in found:
+                docs += posting[4]
             if docs >= min_docs:
+                held = Counter()
+                for _, row, source, n, _ in found:
+                    held[names[row][source]] += n
                 terms.append(term)
                 sources.append(list(held))
                 counts.append(list(held.values()))
@@ -224,7 +243,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     """Per group: its distance from each other source of the language, and its ``top`` terms beyond the language's share."""
     prepared_session(docs.sparkSession)
     read = docs.select(*[F.coalesce(col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    shards = max(read.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shards = -(-(read.agg(F.sum(F.octet_length("text"))).first()[0] or 1) // SHARD)
     runs = staged(runs_of(read, shards, block), "divergence-runs")
     freq = staged(frequencies(runs, min_docs, fan_in), "divergence-terms")
 
