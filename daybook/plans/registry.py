@@ -755,6 +755,80 @@ def q_score_python(spark, sf_dir):
     return scored.select(*KEYS, "pred_date", F.col("error_class").isNotNull().alias("failed"), F.col("pred_total_packs").cast("double").alias("prediction"))
 
 
+#: Items of the failing model below: it raises on one, answers NaN for the other.
+_RAISES, _NOT_A_NUMBER = 7, 11
+_FAILING_MODEL_CLASS = f"""CASE WHEN last_valid_day > 30 THEN 'other_errors' WHEN item_id % {_RAISES} = 0 THEN 'KeyErrors'
+       WHEN item_id % {_NOT_A_NUMBER} = 0 THEN 'ValueErrors' END"""
+
+
+def failing_model(weights: list[float], intercept: float):
+    """A sequence model that refuses a whole batch for one item that it doesn't know, and has no number for others."""
+    make, item = scoring.linear_step_model(weights, intercept), layout.STEP_FEATURES.index("item_id")
+
+    def make_predict_fn():
+        predict = make()
+
+        def run(x):
+            ids = x.reshape(len(x), spec.SEQ_LEN, -1)[:, 0, item].astype("int64")
+            if (ids % _RAISES == 0).any():
+                raise KeyError("unknown item")
+            out = predict(x)
+            out[ids % _NOT_A_NUMBER == 0] = float("nan")
+            return out
+
+        return run
+
+    return make_predict_fn
+
+
+def _scored_with_failures(spark, sf_dir):
+    weights = {"month": 1.0, "cumu_bottles_sold": 1.0, "daily_bottles_sold": 2.0}
+    model = failing_model([weights.get(c, 0.0) for c in layout.STEP_FEATURES], 1.0)
+    return scoring.score_sequences(prepared(spark, sf_dir), model, _PRED_DATE)
+
+
+@register(
+    "score_isolated",
+    O.FULL
+    + f"""
+SELECT item_id, year, month, {_FAILING_MODEL_CLASS} AS error_class,
+       CASE WHEN {_FAILING_MODEL_CLASS} IS NULL THEN CAST(month + cumu_bottles_sold + 2 * daily_bottles_sold + 1 AS DOUBLE) END AS prediction
+FROM padded WHERE day = least(last_valid_day, 30)""",
+)
+def q_score_isolated(spark, sf_dir):
+    """A Python model that raises on batches with certain items loses exactly the rows of these."""
+    return _scored_with_failures(spark, sf_dir).select(*KEYS, "error_class", F.col("pred_total_packs").cast("double").alias("prediction"))
+
+
+@register(
+    "score_model_errors",
+    O.FULL
+    + f"""
+SELECT 'score' AS stage, CAST(count(*) AS BIGINT) AS n_elements, CAST(count(cls) AS BIGINT) AS failed_elements,
+       CAST(0 AS BIGINT) AS AssertionErrors, CAST(count(*) FILTER (WHERE cls = 'KeyErrors') AS BIGINT) AS KeyErrors, CAST(0 AS BIGINT) AS TypeErrors,
+       CAST(count(*) FILTER (WHERE cls = 'ValueErrors') AS BIGINT) AS ValueErrors,
+       CAST(count(*) FILTER (WHERE cls = 'other_errors') AS BIGINT) AS other_errors
+FROM (SELECT DISTINCT item_id, year, month, {_FAILING_MODEL_CLASS} AS cls FROM padded)""",
+)
+def q_score_model_errors(spark, sf_dir):
+    """PRD-4: counters of a model's exceptions and answers that are no finite number."""
+    return quality.error_counts(_scored_with_failures(spark, sf_dir), "score")
+
+
+@register(
+    "score_one_folder",
+    O.WINDOW + "SELECT DISTINCT item_id AS item_number, DATE '2000-07-16' AS pred_date, true AS same FROM padded WHERE last_valid_day <= 30",
+)
+def q_score_one_folder(spark, sf_dir):
+    """SCL-4: the saved model with its scaler on raw prepared rows, against scaler and model loaded apart."""
+    _, model_dir, _ = trained(spark, sf_dir)
+    whole = predict_plan.run_predict(spark, sales(spark, sf_dir), None, model_dir, O.WINDOW_START, O.WINDOW_END).predictions
+    apart = _predicted(spark, sf_dir).predictions.withColumnRenamed("pred_total_packs", "other")
+    return whole.join(apart, ["item_number", "pred_date"], "full").select(
+        "item_number", "pred_date", F.col("pred_total_packs").eqNullSafe(F.col("other")).alias("same")
+    )
+
+
 _GOOD_LINES = f"SELECT c.*, k FROM coded c CROSS JOIN {O.TWICE} WHERE c.r NOT IN ({_FAILING}) AND (k = 1 OR c.r = {faults.LIST_LINE})"
 
 

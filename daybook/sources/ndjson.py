@@ -42,16 +42,20 @@ def mark_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def explode_elements(marked: DataFrame) -> DataFrame:
+def explode_elements(marked: DataFrame, outer: bool = False) -> DataFrame:
     """Good lines -> one row per element (column ``v``, its ``place`` in the line), list lines flattened.
 
-    A line that is an empty list has no element and no row, as in the source.
+    A line that is an empty list has no element and no row, as in the source. ``outer``: a
+    failed line is kept, as one row without element or place, beside its error columns.
     """
     doc = F.col("doc")
     is_list = F.coalesce(F.schema_of_variant(doc).startswith("ARRAY"), F.lit(False))
     items = F.when(is_list, F.variant_get(doc, "$", "array<variant>")).otherwise(F.array(doc))
-    ok = marked.where(F.col("error_class").isNull())
-    return ok.select(F.col("line"), F.posexplode(items).alias("place", "v"))
+    if not outer:
+        return marked.where(F.col("error_class").isNull()).select(F.col("line"), F.posexplode(items).alias("place", "v"))
+    items = F.when(F.col("error_class").isNull(), items)
+    every = marked.select("line", "error_class", "error_message", F.posexplode_outer(items).alias("place", "v"))
+    return every.where("place IS NOT NULL OR error_class IS NOT NULL")
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:

@@ -49,7 +49,7 @@ def process_batch(
             model = training.load(model_dir)
             scored = score_mllib(model, step_inputs(good, pred_date, model_inputs(model)))
             to_predictions(scored).write.mode("overwrite").parquet(os.path.join(out_dir, "predictions", tag))
-            bad = bad.unionByName(quality.quarantine(scored, "score"))
+            bad = bad.unionByName(quality.quarantine(scored, "score", "score_raw"))
         bad.write.mode("overwrite").parquet(os.path.join(out_dir, "_quarantine", tag))
         prepared.unpersist()
     finally:
