@@ -51,7 +51,7 @@ from daybook.llm.common import carried, prepared_session, staged, table
 LENGTH, ANCHOR = 50, 12
 #: Of the LENGTH - ANCHOR bytes around an anchor, at least this many stand on one side of it.
 SIDE = (LENGTH - ANCHOR + 1) // 2
-CHUNK, BATCH, SHARD = 1 << 22, 1 << 24, 1 << 21
+CHUNK, BATCH, SHARD = 1 << 21, 10 << 20, 3 << 19
 PIECE = "key long, batch long, piece binary"
 SPAN = "doc_id long, tag long, start long, stop long"
 RESULTS = ("removed", "kept")
