@@ -56,6 +56,50 @@ def input_count() -> Column:
     return F.count_if(F.col("output") <= 0)
 
 
+class Outputs:
+    """Output rows of one input: the function's results, or one failed row, in the order of ``schema`` and ``ADDED``."""
+
+    def __init__(self, fn: Callable[[Any], Any], schema: T.StructType):
+        self.fn, self.schema = fn, schema
+        self.names = [f.name for f in schema.fields]
+        self.empty = [None] * len(self.names)
+        self.arrow = to_arrow_schema(T.StructType([*schema.fields, *ADDED]))
+
+    def project(self, item: Any) -> list:
+        if isinstance(item, dict):
+            return [item.get(n) for n in self.names]
+        return [item] if len(self.names) == 1 else list(self.empty)
+
+    def check(self, row: list) -> list:
+        for value, field in zip(row, self.arrow):
+            try:
+                pa.array([value], field.type)
+            except (pa.ArrowException, TypeError, ValueError, OverflowError) as exc:
+                raise TypeError(f"{field.name}: {exc}") from exc
+        return row
+
+    def __call__(self, record: Any, check: bool = True) -> list[list]:
+        try:
+            found = self.fn(record)
+            rows = [self.project(item) for item in (found if isinstance(found, list) else [found])]
+            rows = [self.check(row) for row in rows] if check else rows
+        except Exception as exc:  # noqa: BLE001 - every failure is classified
+            raw = record if isinstance(record, str) else json.dumps(record, default=str)
+            return [[*self.empty, error_class_of(exc), str(exc), raw, 0]]
+        return [[*row, None, None, None, i] for i, row in enumerate(rows)] or [[*self.empty, None, None, None, -1]]
+
+    def batch(self, records: list) -> pa.RecordBatch:
+        """All rows of many inputs: whole columns at once, and value by value only if some value does not fit its type."""
+        try:
+            return self._columns([row for r in records for row in self(r, check=False)])
+        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+            return self._columns([row for r in records for row in self(r)])
+
+    def _columns(self, rows: list[list]) -> pa.RecordBatch:
+        columns = [pa.array([row[k] for row in rows], field.type) for k, field in enumerate(self.arrow)]
+        return pa.RecordBatch.from_arrays(columns, schema=self.arrow)
+
+
 def map_and_quarantine(
     df: DataFrame,
     fn: Callable[[Any], Any],
@@ -69,43 +113,14 @@ def map_and_quarantine(
 
     Results are built as Arrow columns of the declared types, so a failure
     beside them changes no value; a result that does not fit its type is a
-    failure of its input (TypeErrors).
+    failure of its input (TypeErrors). ``fn`` is run again on the inputs of a
+    batch that holds such a result.
     """
     cols = input_cols or df.columns
-    names = [f.name for f in schema.fields]
-    out_schema = T.StructType([*schema.fields, *ADDED])
-    arrow = to_arrow_schema(out_schema)
-    empty = [None] * len(names)
-
-    def project(item: Any) -> list:
-        if isinstance(item, dict):
-            return [item.get(n) for n in names]
-        if len(names) == 1:
-            return [item]
-        return list(empty)
-
-    def check(row: list) -> list:
-        for value, field in zip(row, arrow):
-            try:
-                pa.array([value], field.type)
-            except (pa.ArrowException, TypeError, ValueError, OverflowError) as exc:
-                raise TypeError(f"{field.name}: {exc}") from exc
-        return row
-
-    def outputs(record: Any) -> list[list]:
-        try:
-            found = fn(record)
-            rows = [check(project(item)) for item in (found if isinstance(found, list) else [found])]
-        except Exception as exc:  # noqa: BLE001 - every failure is classified
-            raw = record if isinstance(record, str) else json.dumps(record, default=str)
-            return [[*empty, error_class_of(exc), str(exc), raw, 0]]
-        return [[*row, None, None, None, i] for i, row in enumerate(rows)] or [[*empty, None, None, None, -1]]
+    outputs = Outputs(fn, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            records = batch.column(0).to_pylist() if len(cols) == 1 else batch.to_pylist()
-            rows = [row for record in records for row in outputs(record)]
-            columns = [pa.array([row[k] for row in rows], field.type) for k, field in enumerate(arrow)]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            yield outputs.batch(batch.column(0).to_pylist() if len(cols) == 1 else batch.to_pylist())
 
-    return df.select(*cols).mapInArrow(run, out_schema)
+    return df.select(*cols).mapInArrow(run, T.StructType([*schema.fields, *ADDED]))

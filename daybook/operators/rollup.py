@@ -46,19 +46,28 @@ def year_month(date_col: str = "date") -> Column:
     return F.date_format(date_col, "yyyy-MM")
 
 
-def daily_item_sales(sales: DataFrame) -> DataFrame:
-    """AGG-1: one row per (item_number, date) with means and the day's total."""
+def daily_parts(sales: DataFrame) -> DataFrame:
+    """AGG-1, first level: sums and counts by (item, date, description); those of several loads can be added up."""
     sums = [F.sum(F.col(src).cast("double")).alias(f"s_{m}") for m, src in SOURCES.items()]
     counts = [F.count(src).alias(f"n_{m}") for m, src in SOURCES.items()]
     parts = sales.groupBy("item_number", "date", "item_description").agg(*sums, *counts, F.sum("bottles_sold").alias("qty"))
-    dealt = parts.withColumn("year_month", year_month()).repartition("item_number", "year_month")
-    return dealt.groupBy("item_number", "year_month", "date").agg(
+    return parts.withColumn("year_month", year_month())
+
+
+def daily_of_parts(parts: DataFrame) -> DataFrame:
+    """AGG-1, second level: one row per (item_number, date) with means and the day's total."""
+    return parts.repartition("item_number", "year_month").groupBy("item_number", "year_month", "date").agg(
         F.min("item_description").alias("item_description"),
         *[F.try_divide(F.sum(f"s_{m}"), F.sum(f"n_{m}")).alias(m) for m in MEASURES],
         F.sum("qty").alias("daily_bottles_sold"),
     )
 
 
+def daily_item_sales(sales: DataFrame) -> DataFrame:
+    """AGG-1: one row per (item_number, date) with means and the day's total."""
+    return daily_of_parts(daily_parts(sales))
+
+
 def monthly_sequences(daily: DataFrame) -> DataFrame:
     """AGG-2: one raw sample per (item_number, year_month), arrays ordered by date."""
     first_day = F.min_by(F.struct(*MEASURES), F.col("date"))

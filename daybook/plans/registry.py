@@ -924,3 +924,6 @@ def q_events_sequences(spark, sf_dir):
     """Second input shape: the events table, one user = one item (thin sequences)."""
     ship_package(spark)
     return explode_days(good_rows(prepare_samples(raw_samples(events_sales(spark, sf_dir)))))
+
+
+from daybook.plans import registry_jobs  # noqa: E402, F401 - registers the queries of the jobs that go on where they ended
