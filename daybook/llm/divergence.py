@@ -4,8 +4,8 @@ Counting is single-pass in-memory indexing. A task builds a block of postings
 (language, source, term -> occurrences, documents) until ``BLOCK`` of them are
 held, then spills it as term-sorted runs, cut by the term's hash into shards,
 and starts anew. The runs are a written table: one row for a run's part of a
-shard, its terms in order. Per (language, shard) a heap merges the runs and
-adds up equal terms; those in enough documents are the frequencies.
+shard, its terms in order. Per (language, shard) a heap merges the runs, a
+block of each at a time, and equal terms are added up; those in enough documents are the frequencies.
 
 Let a group be one (language, source). A term's share p in a group without it
 is the same number z for all such terms, so the distance of groups a and b is
@@ -31,15 +31,15 @@ whatever their names, are not read.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby, repeat
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,11 +47,11 @@ from pyspark.sql import functions as F
 from daybook.llm.common import col, prepared_session, staged, table
 
 MIN_DOCS, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
-BLOCK, CHUNK, SHARD, FAN_IN, TILE, TERMS = 400_000, 1 << 22, 1 << 24, 256, 256, 4096
+BLOCK, CHUNK, SHARD, FAN_IN, STEP, TILE, TERMS = 400_000, 1 << 22, 1 << 24, 256, 4096, 256, 4096
 #: Terms are runs of ASCII letters and all beyond ASCII, A-Z lower-cased: everything else becomes a blank.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 RUN = "lang string, shard int, run long, names array<string>, terms array<binary>, source array<int>, n array<long>, docs array<long>"
-LISTS = {"names": pa.string(), "terms": pa.binary(), "source": pa.int32(), "n": pa.int64(), "docs": pa.int64()}
+POSTING = ["terms", "source", "n", "docs"]
 
 
 def pieces(text: bytes) -> Iterator[list[bytes]]:
@@ -102,10 +102,10 @@ class Block:
 
 def run_row(lang: str, shard: int, run: int, names: list[str], postings: pa.Table) -> pa.RecordBatch:
     lists = [pa.array([names], pa.list_(pa.string()))]
-    for c in list(LISTS)[1:]:
+    for c in POSTING:
         values = postings[c].combine_chunks() if postings[c].num_chunks != 1 else postings[c].chunk(0)
         lists.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-    return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([shard], pa.int32()), pa.array([run], pa.int64()), *lists], names=["lang", "shard", "run", *LISTS])
+    return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([shard], pa.int32()), pa.array([run], pa.int64()), *lists], names=["lang", "shard", "run", "names", *POSTING])
 
 
 def runs_of(docs: DataFrame, shards: int, block: int = BLOCK) -> DataFrame:
@@ -124,34 +124,56 @@ def runs_of(docs: DataFrame, shards: int, block: int = BLOCK) -> DataFrame:
     return docs.mapInArrow(index, RUN)
 
 
-def entries(row: int, lists: list[pa.ListScalar]) -> Iterator[tuple[bytes, int, int, int, int]]:
-    """A run's postings (term, row, source, occurrences, documents), a few at a time."""
-    terms, *rest = [x.values for x in lists]
-    for at in range(0, len(terms), 512):
-        part = slice(at, at + 512)
-        yield from zip(terms[part].to_pylist(), repeat(row), *[c[part].to_pylist() for c in rest])
-
-
-def merged(rows: pa.Table) -> Iterator[tuple[bytes, Iterator[tuple[bytes, int, int, int, int]]]]:
-    """Terms in order, each with its postings, by a heap over the runs."""
-    runs = [entries(k, [rows[c][k] for c in list(LISTS)[1:]]) for k in range(len(rows))]
-    return groupby(heapq.merge(*runs), key=itemgetter(0))
+def merged(rows: pa.Table) -> Iterator[pa.Table]:
+    """The postings of all runs, term range by term range, in order; ``source`` numbers ``names_in`` the rows.
+
+    Of each run a block of its postings is loaded, whole terms only, and a heap holds the blocks by their last terms. What
+    stands up to the least of these is complete: it is cut off all blocks, and the runs whose block is used up load the next."""
+    names = {s: k for k, s in enumerate(names_in(rows))}
+    own = [pa.array([names[s] for s in row], pa.int32()) for row in rows["names"].to_pylist()]
+    runs = [[rows[c][k].values for c in POSTING] for k in range(len(rows))]
+    keys: list[list[bytes]] = [[]] * len(runs)
+    base, used, heap = [0] * len(runs), [0] * len(runs), []
+
+    def load(k: int) -> None:
+        terms = runs[k][0]
+        base[k] += len(keys[k])
+        stop = min(base[k] + STEP, len(terms))
+        while stop < len(terms) and terms[stop] == terms[stop - 1]:
+            stop += 1
+        keys[k], used[k] = terms[base[k] : stop].to_pylist(), 0
+        if keys[k]:
+            heapq.heappush(heap, (keys[k][-1], k))
+
+    for k in range(len(runs)):
+        load(k)
+    while heap:
+        least, parts = heap[0][0], []
+        for k, block in enumerate(keys):
+            if (stop := bisect.bisect_right(block, least, used[k])) > used[k]:
+                part = slice(base[k] + used[k], base[k] + stop)
+                terms, source, n, docs = (c[part] for c in runs[k])
+                parts.append(pa.table({"terms": terms, "source": own[k].take(source), "n": n, "docs": docs}))
+                used[k] = stop
+        while heap and heap[0][0] == least:
+            load(heapq.heappop(heap)[1])
+        yield pa.concat_tables(parts)
+
+
+def names_in(rows: pa.Table) -> list[str]:
+    return sorted({s for row in rows["names"].to_pylist() for s in row})
+
+
+def summed(postings: pa.Table) -> pa.Table:
+    """Postings in order of term and source, those of equal ones added up."""
+    sums = postings.group_by(["terms", "source"]).aggregate([("n", "sum"), ("docs", "sum")]).rename_columns(POSTING)
+    return sums.sort_by([("terms", "ascending"), ("source", "ascending")])
 
 
 def one_run(key: tuple, rows: pa.Table) -> pa.Table:
     """Several runs' parts of a shard as one."""
-    names: dict[str, int] = {}
-    own = [[names.setdefault(s, len(names)) for s in row] for row in rows["names"].to_pylist()]
-    postings = []
-    for term, found in merged(rows):
-        n, docs = Counter(), Counter()
-        for _, row, source, a, b in found:
-            n[own[row][source]] += a
-            docs[own[row][source]] += b
-        postings += [(term, k, n[k], docs[k]) for k in sorted(n)]
-    columns = zip(*postings) if postings else [()] * 4
-    table_ = pa.table({c: pa.array(v, LISTS[c]) for c, v in zip(list(LISTS)[1:], columns)})
-    return pa.Table.from_batches([run_row(key[0].as_py(), key[1].as_py(), key[2].as_py(), list(names), table_)])
+    found = pa.concat_tables([summed(part) for part in merged(rows)])
+    return pa.Table.from_batches([run_row(key[0].as_py(), key[1].as_py(), key[2].as_py(), names_in(rows), found)])
 
 
 def frequencies(runs: DataFrame, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN) -> DataFrame:
@@ -163,22 +185,23 @@ def frequencies(runs: DataFrame, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN)
         runs = staged(runs.groupBy("lang", "shard", joint).applyInArrow(one_run, RUN), "divergence-runs")
 
     def gather(key: tuple, rows: pa.Table) -> pa.Table:
-        names = rows["names"].to_pylist()
-        terms, sources, counts = [], [], []
-        for term, found in merged(rows):
-            found, docs = list(found), 0
-            for posting in found:
-                docs += posting[4]
-            if docs >= min_docs:
-                held = Counter()
-                for _, row, source, n, _ in found:
-                    held[names[row][source]] += n
-                terms.append(term)
-                sources.append(list(held))
-                counts.append(list(held.values()))
-        k = len(terms)
-        return pa.table({"lang": pa.array([key[0].as_py()] * k, pa.string()), "shard": pa.array([key[1].as_py()] * k, pa.int32()), "term": pa.array(terms, pa.binary()).cast(pa.string()),
-                         "n": pa.array([sum(c) for c in counts], pa.int64()), "sources": pa.array(sources, pa.list_(pa.string())), "counts": pa.array(counts, pa.list_(pa.int64()))})
+        names, parts = pa.array(names_in(rows), pa.string()), []
+        for postings in merged(rows):
+            whole = postings.group_by("terms").aggregate([("docs", "sum")])
+            often = whole.filter(pc.greater_equal(whole["docs_sum"], min_docs))["terms"]
+            kept = summed(postings.filter(pc.is_in(postings["terms"], often.combine_chunks()))).combine_chunks()
+            if not len(kept):
+                continue
+            terms, sources, n = (kept[c].chunk(0) for c in ("terms", "source", "n"))
+            new = np.append(True, pc.not_equal(terms[1:], terms[:-1]).to_numpy(zero_copy_only=False))
+            first = np.flatnonzero(new)
+            offsets = pa.array(np.append(first, len(kept)), pa.int32())
+            parts.append(pa.table({"term": terms.take(pa.array(first)).cast(pa.string()), "n": pa.array(np.add.reduceat(n.to_numpy(), first)),
+                                   "sources": pa.ListArray.from_arrays(offsets, names.take(sources)), "counts": pa.ListArray.from_arrays(offsets, n)}))
+        if not parts:
+            return pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("term", pa.string()), ("n", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]).empty_table()
+        out = pa.concat_tables(parts)
+        return out.add_column(0, "lang", pa.array([key[0].as_py()] * len(out), pa.string())).add_column(1, "shard", pa.array([key[1].as_py()] * len(out), pa.int32()))
 
     schema = "lang string, shard int, term string, n long, sources array<string>, counts array<long>"
     return runs.groupBy("lang", "shard").applyInArrow(gather, schema)

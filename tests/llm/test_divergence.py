@@ -99,3 +99,24 @@ def test_query(spark):
     got = sorted(tuple(r) for r in queries()["op12_divergence"](spark, SF).collect())
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang", "source").collect()
     assert got == plain([tuple(r) for r in docs], 30)
+
+
+def test_merge_of_runs_in_blocks(monkeypatch):
+    monkeypatch.setattr(D, "STEP", 3)
+    rnd, want, rows = random.Random(4), Counter(), []
+    for run in range(6):
+        block = D.Block()
+        for _ in range(30):
+            source, words = rnd.choice("xyz"), rnd.choices(["a", "b", "c", "dd", "ddd", "e", "ff"], k=rnd.randrange(9))
+            block.add("en", source, " ".join(words).encode())
+            want.update((w.encode(), source) for w in words)
+        rows += list(block.spill(run, 1))
+    table = D.pa.Table.from_batches(rows)
+    names, got, last = D.names_in(table), Counter(), b""
+    for part in D.merged(table):
+        part = D.summed(part)
+        terms = part["terms"].to_pylist()
+        assert terms == sorted(terms) and (not terms or last < terms[0])
+        last = terms[-1]
+        got.update(dict(zip(zip(terms, [names[k] for k in part["source"].to_pylist()]), part["n"].to_pylist())))
+    assert got == want
