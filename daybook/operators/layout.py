@@ -10,7 +10,7 @@
 Batch numbering never funnels rows through one task: the shuffle key is a
 hash, so its leading digits split the rows into even ranges; the ranges'
 counts form a table of fixed size, whose running sum gives each range's
-offset; each range is then ranked on its own.
+offset; a row's place in its range is where the sorted write put it.
 """
 
 from __future__ import annotations
@@ -72,27 +72,29 @@ def seeded_shuffle(df: DataFrame, seed: int = 42, keys: list[str] | None = None)
 def positions(df: DataFrame, seed: int = 42, keys: list[str] | None = None, digits: int = 3) -> DataFrame:
     """Append ``shuffle_key``, ``position`` in shuffled order and ``n_total``.
 
-    The rows are written once to the shared work folder, then counted and
-    ranked from there. The leading ``digits`` of the key make 16 ** digits even
-    ranges, each ranked alone: that number is the parallelism of the ranking
-    and the bound of the broadcast counts (4,096 by default; 4 digits for
-    65,536), whatever the table's size.
+    The leading ``digits`` of the key make 16 ** digits even ranges. The rows are dealt
+    by range, sorted and written once to the shared work folder, each with its seat there; a scan of ranges
+    and seats alone then counts each range, and a row's position is its range's offset and
+    its seat within the range. Nothing is shuffled or sorted again. The number of ranges
+    is the parallelism of the sort and the bound of the broadcast counts (4,096
+    by default; 4 digits for 65,536), whatever the table's size.
     """
     keys = keys or KEYS
     spark = df.sparkSession
     path = work_path(spark, "shuffled")
-    df.withColumn("shuffle_key", shuffle_key(seed, keys)).write.parquet(path)
-    keyed = spark.read.parquet(path).withColumn("_range", F.substring("shuffle_key", 1, digits))
-    counts = keyed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    dealt = df.withColumn("shuffle_key", shuffle_key(seed, keys)).withColumn("_range", F.substring("shuffle_key", 1, digits))
+    ordered = dealt.repartition("_range").sortWithinPartitions("_range", "shuffle_key", *keys)
+    ordered.withColumn("_seat", F.monotonically_increasing_id()).write.parquet(path)
+    seated = spark.read.parquet(path)
+    counts = seated.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_seat").alias("_first"))
     running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(
         "_range",
-        (F.sum("_n").over(running) - F.col("_n")).alias("_offset"),
+        (F.sum("_n").over(running) - F.col("_n") - F.col("_first")).alias("_offset"),
         F.sum("_n").over(Window.partitionBy()).alias("n_total"),
     )
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy("shuffle_key", *keys))
-    ranked = keyed.withColumn("_rank", rank).join(F.broadcast(offsets), "_range")
-    return ranked.withColumn("position", F.col("_offset") + F.col("_rank") - 1).drop("_range", "_offset", "_rank")
+    placed = seated.join(F.broadcast(offsets), "_range")
+    return placed.withColumn("position", F.col("_offset") + F.col("_seat")).drop("_range", "_offset", "_seat")
 
 
 def assign_batches(df: DataFrame, batch_size: int, seed: int = 42, keys: list[str] | None = None, digits: int = 3) -> DataFrame:

@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 from daybook import spec
 from daybook.operators import layout, quality, scoring, training
 from daybook.operators.mapping import input_count, map_and_quarantine
-from daybook.operators.scaling import apply_minmax, fit_minmax, stats_frame
+from daybook.operators.scaling import apply_minmax, fit_minmax, footer_columns, footer_stats, stats_frame
 from daybook.operators.split import mark_split
 from daybook.plans.train import examples_of_lines, run_train, split_folder
-from daybook.sources import examples
+from daybook.sources import examples, interleaved
 from daybook.operators.rollup import MEASURES, daily_item_sales, raw_samples
 from daybook.operators.sequences import explode_days, good_rows, padded_long_window, prepare_samples
 from daybook.plans import faults
@@ -428,6 +428,21 @@ def q_minmax_stats(spark, sf_dir):
     return stats_frame(prepared(spark, sf_dir))
 
 
+_MINMAX_NAN = """
+SELECT min(volume_ml) FILTER (WHERE item_id % 5 <> 0) AS volume_ml_min, max(volume_ml) FILTER (WHERE item_id % 5 <> 0) AS volume_ml_max,
+       min(pack_size) AS pack_size_min, max(pack_size) AS pack_size_max FROM padded"""
+
+
+@register("minmax_footer", O.FULL + _MINMAX_NAN)
+def q_minmax_footer(spark, sf_dir):
+    """AGG-7 from the footers of a written table, a fifth of whose items have NaN in one column."""
+    odd = F.when(F.col("item_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("volume_ml").cast("double"))
+    rows, path = prepared(spark, sf_dir).withColumn("volume_ml", odd), work_path(spark, "footers")
+    rows.withColumns(footer_columns()).write.parquet(path)
+    found = footer_stats(spark, path)
+    return spark.createDataFrame([tuple(found.first())], found.schema)
+
+
 @register(
     "minmax_scaled",
     O.FULL_STATS
@@ -586,7 +601,10 @@ SELECT *, CAST(row_number() OVER (ORDER BY shuffle_key, item_id, year, month) -
 FROM (SELECT DISTINCT item_id, year, month, {_shuffle_sql()} AS shuffle_key FROM padded)""",
 )
 def q_seeded_shuffle(spark, sf_dir):
-    placed = layout.positions(prepared(spark, sf_dir).select(*KEYS))
+    """SRT-2: the table written in shuffled order; a row's position is its place in the files."""
+    ordered, path = layout.seeded_shuffle(prepared(spark, sf_dir).select(*KEYS)), work_path(spark, "in-order")
+    ordered.write.parquet(path)
+    placed = interleaved.read_interleaved(spark, path, ordered.schema, cycle=1)
     return placed.select(*KEYS, "shuffle_key", F.col("position").cast("bigint"))
 
 

@@ -13,6 +13,7 @@ from daybook import spec
 from daybook.operators import training
 from daybook.operators.mapping import map_and_quarantine
 from daybook.operators.rollup import raw_samples
+from daybook.operators.scaling import footer_columns, footer_stats, stats_frame
 from daybook.operators.sequences import good_rows, prepare_samples
 from daybook.operators.split import mark_split
 from daybook.operators.table_function import register_table_function
@@ -159,3 +160,24 @@ def test_stream_counts_validates_and_scores(spark, samples, tmp_path):
     assert {r.stage: r["count"] for r in bad} == {s: n for s, (_, n) in counts.items() if n}
     assert {r.split for r in spark.read.parquet(f"{base}/out/examples").collect()} == {"train", "test"}
     assert spark.read.parquet(f"{base}/out/predictions").count() == 1
+
+
+def test_statistics_from_footers(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    tables = {
+        "some": [(1.0, nan), (nan, 2.0), (3.0, None), (-2.5, -0.0)],
+        "infinite": [(inf, 1.0), (-inf, 1.0)],
+        "no number": [(nan, None), (None, nan)],
+        "empty": [],
+    }
+    for name, values in tables.items():
+        rows = spark.createDataFrame(values, "volume_ml double, pack_size double").repartition(3)
+        rows.withColumns(footer_columns()).write.parquet(f"{tmp_path}/{name}")
+        found = footer_stats(spark, f"{tmp_path}/{name}")
+        plan = found._jdf.queryExecution().toString()
+        assert "PushedAggregation: [MIN(fit_" in plan and "fit_volume_ml" in plan
+        assert tuple(found.first()) == tuple(stats_frame(rows).first()), name
+    assert "avro" in spark.conf.get("spark.sql.sources.useV1SourceList")  # the caller's session is as it was
+    rows = spark.createDataFrame([(1.0, 1.0, None), (9.0, 9.0, "parse")], "volume_ml double, pack_size double, stage string")
+    rows.withColumns(footer_columns(counts=F.col("stage").isNull())).write.parquet(f"{tmp_path}/counted")
+    assert tuple(footer_stats(spark, f"{tmp_path}/counted").first()) == (1.0, 1.0, 1.0, 1.0)
