@@ -1,9 +1,9 @@
 """Byte-pair encoding and decoding with a queue of merge ranks over a doubly linked symbol list.
 
 A word's symbols are a doubly linked list held in two index arrays. Every
-adjacent pair that has a merge goes into a heap as (rank, position, pair);
+adjacent pair that has a merge goes into a heap as one integer of rank and position;
 an entry is stale, and skipped, when the symbols at its position are no longer
-that pair. A merge pushes at most two new pairs, so a word of n symbols costs
+the pair of that rank. A merge pushes at most two new pairs, so a word of n symbols costs
 O(n log n) whatever its length. Decoding concatenates vocabulary strings.
 
 The vocabulary file is read once on the driver and broadcast; its size is that
@@ -23,9 +23,10 @@ import hashlib
 import heapq
 import json
 import os
+import re
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import regex
@@ -34,11 +35,16 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import col, prepared_session, table
 
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 MAX_VOCAB_BYTES = 64 << 20
 #: Characters with the property White_Space.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Bits of a symbol, and of a place in a word.
+BITS, PLACE = 24, 40
+SYMBOL, PLACES = (1 << BITS) - 1, (1 << PLACE) - 1
+
 
 def byte_alphabet() -> list[str]:
     """The printable stand-in of each byte: itself if printable, else the next free character from 256 on."""
@@ -52,6 +58,22 @@ def lower_each(text: str) -> str:
     return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
 
+class Known(dict):
+    """Encoded words, made when first asked for; emptied when full."""
+
+    def __init__(self, make: Callable[[str], tuple[bytes, str]]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> tuple[bytes, str]:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        got = self.make(word)
+        if len(word) <= 64:
+            self[word] = got
+        return got
+
+
 class Bpe:
     """Encoder and decoder of one vocabulary file of the ``tokenizers`` format with word ends."""
 
@@ -63,34 +85,47 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.strings = {i: s for s, i in (vocab | self.special).items()}
         pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # both symbols in one key, rank and new symbol in one value
+        self.merges = {vocab[a] << BITS | vocab[b]: rank << BITS | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         steps = data["pre_tokenizer"]["pretokenizers"]
-        self.words = regex.compile(steps[0]["pattern"]["Regex"].replace("\\s", SPACES))
-        self.blanks = regex.compile(f"[{SPACES}]+")
+        pattern = steps[0]["pattern"]["Regex"].replace("\\s", SPACES)
+        self.words = regex.compile(pattern)
+        ascii_ = pattern.replace("\\p{L}", "a-zA-Z").replace("\\p{N}", "0-9")
+        self.ascii_words = re.compile(ascii_) if "\\p" not in ascii_ else self.words
+        # white space that no word can hold needs no joining: it only separates
+        self.blanks = regex.compile(f"[{SPACES}]+") if " " in steps[0]["pattern"]["Regex"] or self.words.search(WHITE) else None
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         alphabet = byte_alphabet()
         self.inner = [vocab.get(c) for c in alphabet]
         self.last = [vocab.get(c + self.suffix) for c in alphabet]
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.cache = Known(self.known)
 
     def merge(self, symbols: list[int]) -> list[int]:
-        n = len(symbols)
+        n, find = len(symbols), self.merges.get
+        queue = [m >> BITS << PLACE | i for i in range(n - 1) if (m := find(symbols[i] << BITS | symbols[i + 1]))]
+        if not queue:
+            return symbols
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        queue = [(m[0], i, p) for i, p in enumerate(zip(symbols, symbols[1:])) if (m := self.merges.get(p))]
         heapq.heapify(queue)
         while queue:
-            _, i, pair = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            i = entry & PLACES
             j = after[i]
-            if j < 0 or symbols[i] != pair[0] or symbols[j] != pair[1]:
+            if j < 0 or symbols[i] < 0:
+                continue
+            m = find(symbols[i] << BITS | symbols[j])
+            if m is None or m >> BITS != entry >> PLACE:
                 continue  # stale: one of the two was merged away
-            symbols[i] = self.merges[pair][1]
+            symbols[i] = new = m & SYMBOL
             symbols[j] = -1
-            after[i] = after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-            for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right >= 0 and (m := self.merges.get(p := (symbols[left], symbols[right]))):
-                    heapq.heappush(queue, (m[0], left, p))
+            after[i] = right = after[j]
+            if right >= 0:
+                before[right] = i
+                if m := find(new << BITS | symbols[right]):
+                    heapq.heappush(queue, m >> BITS << PLACE | i)
+            left = before[i]
+            if left >= 0 and (m := find(symbols[left] << BITS | new)):
+                heapq.heappush(queue, m >> BITS << PLACE | left)
         return [s for s in symbols if s >= 0]
 
     def encode_word(self, word: str) -> list[int]:
@@ -100,24 +135,20 @@ class Bpe:
 
     def known(self, word: str) -> tuple[bytes, str]:
         """A word's ids as little-endian 32-bit integers, and its decoded string."""
-        got = self.cache.get(word)
-        if got is None:
-            if len(self.cache) >= CACHED_WORDS:
-                self.cache.clear()
-            ids = self.encode_word(word)
-            got = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
-            if len(word) <= 64:
-                self.cache[word] = got
-        return got
+        ids = self.encode_word(word)
+        return struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
 
-    def pieces(self, text: str) -> Iterator[tuple[bytes, str]]:
+    def pieces(self, text: str) -> list[tuple[bytes, str]]:
         parts = self.cut.split(text) if self.cut and any(s in text for s in self.special) else [text]
+        found = []
         for part in parts:
             if part in self.special:
-                yield struct.pack("<I", self.special[part]), part
+                found.append((struct.pack("<I", self.special[part]), part))
             elif part:
                 plain = part if part.isascii() else unicodedata.normalize("NFC", part)
-                yield from map(self.known, self.words.findall(lower_each(self.blanks.sub(" ", plain))))
+                plain = lower_each(self.blanks.sub(" ", plain) if self.blanks else plain)
+                found += map(self.cache.__getitem__, (self.ascii_words if plain.isascii() else self.words).findall(plain))
+        return found
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings in order, one space between them (the file names no decoder)."""
@@ -125,8 +156,8 @@ class Bpe:
 
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids of a text as little-endian 32-bit integers, and their decoded string."""
-        found = [x for x in self.pieces(text or "") if x[0]]
-        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found])
+        found = self.pieces(text or "")
+        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found if x[0]])
 
 
 def read_spec(path: str) -> str:
