@@ -13,7 +13,8 @@ aggregate a step; a step's estimates come back as one row.
 Defined results: null and blank texts have no words, fail the base rule and are
 not kept; their votes still count. An empty table gives no rows. A posterior
 of exactly one half keeps the document. Without any vote the posterior is the
-prior. Repeated rows are separate documents. Columns of the input named like an
+prior. Repeated rows are separate documents. A very long text is measured whole
+and exactly: windows count as repeated by their words, not by a hash. Columns of the input named like an
 output are replaced.
 """
 
@@ -35,24 +36,35 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MEASURES = [*STATS, "n_lines", "capitals", "letters", "n_shouts"]
 
 
-def repeated_words(w: Column) -> Column:
+def repeated_words(w: Column, bits: Column | None = None) -> Column:
     """Words in ``w`` that lie in a 3-word window found twice or more in it.
 
     Each window is one long: the hash of its words above, its position in the
-    low bits (as many as the text needs). After one sort of longs, equal
-    windows are neighbours; positions covered by a repeated window are then
-    counted from the gaps between its sorted starts.
+    low ``bits`` (as many as the text needs). After one sort of longs, windows
+    with equal upper bits are neighbours. These few are sorted once more, by
+    their words, as the upper bits of a long text's hashes can be equal by
+    chance; positions covered by a repeated window are then counted from the
+    gaps between its sorted starts.
     """
     n = F.size(w)
-    bits = F.ceil(F.log2(F.greatest(n, F.lit(2)).cast("double") + 1)).cast("int")
+    bits = F.ceil(F.log2(F.greatest(n, F.lit(2)).cast("double") + 1)).cast("int") if bits is None else bits
+    top = lambda x: F.call_function("shiftright", x, bits)
+    place = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+
+    def beside(array: Column, same) -> Column:
+        """The elements whose neighbour is the same."""
+        near = lambda x, i: F.coalesce(same(F.get(array, i - 1)) == same(x), F.lit(False)) | F.coalesce(
+            same(F.get(array, i + 1)) == same(x), F.lit(False)
+        )
+        return F.filter(array, near)
+
+    def spelled(x: Column) -> Column:
+        i = place(x).cast("int")
+        return F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("words"), place(x).alias("at"))
 
     def starts(packed: Column) -> Column:
-        top = lambda x: F.call_function("shiftright", x, bits)
-        near = lambda x, i: F.coalesce(top(F.get(packed, i - 1)) == top(x), F.lit(False)) | F.coalesce(
-            top(F.get(packed, i + 1)) == top(x), F.lit(False)
-        )
-        place = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
-        return F.sort_array(F.transform(F.filter(packed, near), place))
+        found = bind(F.sort_array(F.transform(beside(packed, top), spelled)), lambda s: beside(s, lambda x: x["words"]))
+        return F.sort_array(F.transform(found, lambda x: x["at"]))
 
     def covered(s: Column) -> Column:
         gap = lambda x, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get(s, i + 1) - x, F.lit(3).cast("long")))

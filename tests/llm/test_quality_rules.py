@@ -62,3 +62,14 @@ def test_empty_table_and_plan(spark):
     assert out.count() == 0
     plan = empty.select(Q.text_statistics(F.col("text")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_repeats_are_words_not_hashes(spark):
+    """With all but a few bits of the hash cut off, as in a text of many millions of words, unequal windows stay apart."""
+    from pyspark.sql import functions as F
+
+    rows = [" ".join(f"w{i}" for i in range(400)), "a b c d " * 50 + " ".join(f"v{i}" for i in range(300)) + " a b c", "x y z", "x y z x y z", ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "k long, text string")
+    for bits in (60, 55, 40):
+        got = {r.k: r.n for r in df.select("k", Q.repeated_words(Q.words(F.col("text")), F.lit(bits)).alias("n")).collect()}
+        assert got == {k: base(t)[4] for k, t in enumerate(rows)}
