@@ -4,7 +4,8 @@ Words are runs of ASCII letters and digits and of characters beyond ASCII. A
 block is a window of twice the longest template's words, one for every such
 length of words, so each passage as long as a template lies whole in a block.
 A block matches a template when it holds at least ``threshold`` of the
-template's distinct words (containment).
+template's distinct words (containment), and all of them where they are under
+``SHORT``: one word less may be another licence ("the BSD License").
 
 The join is exact. Template words are ordered by their frequency in all
 documents, rare ones first. A template of m words that needs o of them shares
@@ -50,6 +51,7 @@ TEMPLATES = [
     ("cc0", "To the extent possible under law, the author has waived all copyright and related rights to this work"),
 ]
 THRESHOLD = 0.8
+SHORT = 10
 MAX_TEMPLATE_WORDS = 20_000
 OUTPUTS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
 
@@ -94,7 +96,7 @@ class Templates:
         self.rows = []
         for k, (label, ws, _) in enumerate(self.items):
             ranks = sorted(self.rank[w] for w in ws)
-            need = math.ceil(self.threshold * len(ranks) - 1e-9)
+            need = len(ranks) if len(ranks) < SHORT else math.ceil(self.threshold * len(ranks) - 1e-9)
             self.rows += [(k, label, ranks, need, i, r) for i, r in enumerate(ranks[: len(ranks) - need + 1])]
         self.prefix = sorted({by_rarity[r[5]] for r in self.rows})
 

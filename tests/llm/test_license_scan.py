@@ -19,7 +19,7 @@ def brute(t, templates=L.TEMPLATES, threshold=L.THRESHOLD):
         T = set(words(x))
         for b in range(0, len(w), step):
             n = len(T & set(w[b : b + 2 * step]))
-            if n >= math.ceil(threshold * len(T) - 1e-9):
+            if n >= (len(T) if len(T) < L.SHORT else math.ceil(threshold * len(T) - 1e-9)):
                 labels.add(lab)
                 share = max(share, n / len(T))
     return (len(w), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None),
@@ -42,6 +42,13 @@ def test_against_brute_force(spark):
     assert sorted(str((r.text, *[r[c] for c in L.OUTPUTS])) for r in got) == sorted(str((t, *brute(t))) for _, t, _ in rows)
 
 
+def test_short_templates_need_all_their_words(spark):
+    texts = {"Licensed under CC BY 4.0": "cc-by", "Released under the BSD License": "", "under the license agreement I released a statement": "",
+             "Released under the MIT License": "mit", "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc-4.0", "Licensed under the Apache License, Version 1.0": ""}
+    got = L.scan_licenses(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert {r.text: r.labels for r in got} == texts
+
+
 def test_query_against_brute_force(spark):
     from daybook.llm.registry import queries
 
