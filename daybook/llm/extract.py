@@ -44,6 +44,8 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 HIDDEN = {"head", "script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "title", "textarea", "select"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var"}
+#: Elements that stand inside a word without parting it and end no paragraph.
+SILENT = {"wbr", "script", "style", "template", "noscript", "link", "meta"}
 ROLES = [
     {"article", "main"}, {"nav", "menu"}, {"header"}, {"footer"}, {"aside"}, {"form", "fieldset", "button", "label", "input", "dialog"},
     {"p", "blockquote", "pre"}, {"h1", "h2", "h3", "h4", "h5", "h6"}, {"ul", "ol", "li", "dl", "dt", "dd"}, {"a"}, {"div", "section", "span"},
@@ -56,7 +58,8 @@ BAD = ("ad ads advert advertisement banner breadcrumb byline comment comments co
        "search share sharing sidebar signup social sponsor sponsored subscribe tags teaser toolbar top widget").split()
 BUCKETS = 16
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|</[^>]*>""", re.S)
+# A quote opens a value only after "=", as in browsers; any other is part of a name. What has no end ends with the page.
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:"[^"]*"|'[^']*')|=)*)(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
 ATTR = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 IN_HEAD = {"meta", "link", "script", "style", "title", "base", "noscript", "template"}
 BREAKS = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
@@ -72,6 +75,9 @@ class Page:
     tokens: list[list[str]] = field(default_factory=list)
     text: list[str | None] = field(default_factory=list)
     label: list[int | None] = field(default_factory=list)
+    #: White space came right before the node, be it kept or not.
+    gap: list[bool] = field(default_factory=list)
+    blank: bool = False
 
     def add(self, tag: str, parent: int, tokens: list[str], text: str | None, label: int | None) -> int:
         self.tag.append(tag)
@@ -79,6 +85,8 @@ class Page:
         self.tokens.append(tokens)
         self.text.append(text)
         self.label.append(label)
+        self.gap.append(self.blank)
+        self.blank = False
         return len(self.tag) - 1
 
 
@@ -101,6 +109,8 @@ def parse(source: str, labelled: bool = True) -> Page:
     at, end, hidden = 0, len(source), 0
 
     def run(text: str) -> None:
+        if text and text.isspace():
+            page.blank = True
         if text and not hidden and not text.isspace():
             page.add("#text", open_[-1], [], entities.unescape(text), None)
         elif text and not hidden and page.text[-1] is not None:
@@ -129,7 +139,7 @@ def parse(source: str, labelled: bool = True) -> Page:
             continue
         if name not in IN_HEAD and page.tag[open_[-1]] == "head":
             close(len(open_) - 1)
-        broken = BREAKS.get(name) or ({"p"} if name not in INLINE and name not in VOID else ())
+        broken = BREAKS.get(name) or ({"p"} if name not in INLINE and name not in VOID and name not in SILENT else ())
         if broken:
             for k in range(len(open_) - 1, 0, -1):
                 t = page.tag[open_[k]]
@@ -332,7 +342,10 @@ def fit(pages: DataFrame, html: str = "html", train_pages: int = TRAIN_PAGES) ->
 
     prepared_session(pages.sparkSession)
     source = pages.select(col(html).alias("html")).where("length(html) > 0")
-    sample = source.withColumn("h", F.xxhash64("html")).orderBy("h", "html").limit(train_pages)
+    hashed = source.withColumn("h", F.xxhash64("html"))
+    # copies of a page count once
+    least = hashed.select("h").distinct().orderBy("h").limit(train_pages)
+    sample = hashed.join(F.broadcast(least), "h", "left_semi").dropDuplicates(["h", "html"])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -373,8 +386,10 @@ def main_text(page: Page, kept: list[bool]) -> str:
     out: list[str] = []
     block = -1
     for i in range(1, len(page.tag)):
+        if page.gap[i]:
+            out.append(" ")
         if page.text[i] is None:
-            if page.tag[i] not in INLINE:
+            if page.tag[i] not in INLINE and page.tag[i] not in SILENT:
                 out.append(" ")
         elif kept[i]:
             up = page.parent[i]

@@ -79,12 +79,37 @@ def test_decoding_is_the_best_consistent_choice():
     ("<p>a<b>b</b>c<br>d</p>", "abc d"), ("<p>x &amp; y &eacute;&#233; &am", "x & y éé &am"), ("a < b", "a < b"), ("<p>one<p>two", "one two"),
     ("<script>var x='<p>no</p>'</script>yes<!-- no", "yes"), ("<style>p{}</style><p title='a>b'>t</p>", "t"), ("<head><title>n</title><body>b", "b"),
     ("<ul><li>a<li>b</ul>c", "a b c"), ("</p></div>x", "x"), ("<div>a\n\n \tb</div>\xa0c", "a b c"), ("<p>a</p> b <i>c</i>", "a b c"), ("", ""),
+    ("foo<span class=icon></span> <b>bar</b>", "foo bar"), ("x<a name=t></a> <i>y</i>", "x y"), ("a<b>b</b>c", "abc"), ("a<wbr>b", "ab"),
+    ("a<script>x</script>b <style>y</style> c", "ab c"), ("<p>one<script>x</script>two</p>", "onetwo"),
+    ('a<img title="5" tall" src=x>b c', "a b c"), ('<a href="x>y" title=\'>\'>t</a>', "t"), ("<p title=it's>t</p> u", "t u"), ('<p x="no end>t', "t"), ("t</1 </2", "t"),
 ])
 def test_reading_of_markup(source, text):
     page = X.parse(source)
     assert X.main_text(page, [True] * len(page.tag)) == text
 
 
+def test_blanks_beside_dropped_runs_stay():
+    page = X.parse("<p>a<b>drop</b> <i>c</i></p>")
+    drop = next(k for k, t in enumerate(page.text) if t and t.strip() == "drop")
+    kept = [k != drop and k != page.parent[drop] for k in range(len(page.tag))]
+    assert X.main_text(page, kept) == "a c"
+
+
+def test_hostile_pages_take_time_in_proportion():
+    import time
+
+    for piece in ("</1 ", "<a ='", "<p =\"x", "<!-", "<b c='d' ", "< "):
+        start = time.perf_counter()
+        X.parse(piece * (1_000_000 // len(piece)))
+        assert time.perf_counter() - start < 30, piece
+
+
+def test_copies_of_a_page_count_once_in_the_sample(spark):
+    pages = [f"<html><body><article><p>{' '.join(f'w{i}x{k}' for k in range(60))}</p></article></body></html>" for i in range(6)]
+    rows = [(p,) for p in [pages[0]] * 50 + pages]
+    assert X.fit(spark.createDataFrame(rows, "html string"), train_pages=6) is not None
+
+
 def test_odd_pages(spark, forest):
     rows = [(1, None), (None, ""), (2, "   "), (3, "<div>" * 20000 + "deep"), (4, "<p>" + "long text, really. " * 50000), (4, None), (5, "\x00<"), (6, "<html></html>")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, html string, text string")
