@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes in this block go as each write ends: who reads the written table needs none of them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def prepared_session(spark: SparkSession) -> SparkSession:
     """Checkpoint folder known and the package importable in Python workers."""
     ensure_checkpoint_dir(spark)

@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import col, prepared_session, table
+from daybook.llm.common import col, passing_shuffles, prepared_session, table
 from daybook.session import work_path
 
 HOT, SPREAD, SAMPLE, FLUSH, SHARD, LOW, EPSILON = 1 << 18, 4096, 64, 1 << 20, 1 << 20, 5, 0.01
@@ -449,7 +449,8 @@ def score_documents(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", te
     frequent, tokens = spread_counts(slim, hot, spread)
     shards = max(4, -(-tokens // SHARD))  # by the size of the text: a shard is what one task holds at once
     dealt = slim.mapInPandas(deal(hot, spread, shards), ROWS).repartition(shards, "shard").sortWithinPartitions("shard")
-    dealt.mapInPandas(count_and_score(frequent, shards), ROWS).write.partitionBy("kind").parquet(f"{model}/counts")
+    with passing_shuffles(spark):
+        dealt.mapInPandas(count_and_score(frequent, shards), ROWS).write.partitionBy("kind").parquet(f"{model}/counts")
     counts = spark.read.schema(ROWS).parquet(f"{model}/counts")
     unigrams, bigrams = totals(frequent), np.zeros(LOW + 3, np.int64)
     # one short row a shard
@@ -458,7 +459,8 @@ def score_documents(docs: DataFrame, teaches: Column, doc_id: str = "doc_id", te
         unigrams, bigrams = unigrams + one, bigrams + two
     d = Discounts(unigrams, bigrams)
     histories = counts.where("kind IN ('bigram', 'miss')").select("kind", "shard", "blob").repartition(shards, "shard").sortWithinPartitions("shard")
-    histories.mapInPandas(back_off(d), ROWS).write.partitionBy("kind").parquet(f"{model}/weights")
+    with passing_shuffles(spark):
+        histories.mapInPandas(back_off(d), ROWS).write.partitionBy("kind").parquet(f"{model}/weights")
     weights = spark.read.schema(ROWS).parquet(f"{model}/weights")
     sums = counts.where("kind IN ('document', 'group')").select("kind", "part", "blob").unionByName(weights.where("kind = 'document'").select("kind", "part", "blob"))
     out = sums.groupBy("part").applyInPandas(finish(d), "doc_id long, n_tokens long, n_known long, base_score double, score double")
