@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import carried, prepared_session, staged, table
+from daybook.llm.common import carried, passing_shuffles, prepared_session, staged, table
 
 LENGTH, ANCHOR = 50, 12
 #: Of the LENGTH - ANCHOR bytes around an anchor, at least this many stand on one side of it.
@@ -265,20 +265,21 @@ def pieces_table(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Places of ``text``, whose segments end with a 0 at ``ends``, by their first ``LENGTH`` bytes up to that end, by prefix doubling."""
     n = len(text)
-    place, key, have = np.arange(n), np.zeros(n, np.int64), 7
+    place, key, have = np.arange(n, dtype=np.int32), np.zeros(n, np.int64), 7
     for step in range(have):
         at = np.minimum(place + step, n - 1)
         key = key << 9 | np.where(place + step <= ends, text[at], 0)
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key, kind="stable").astype(np.int32)
         if have >= LENGTH:
             return order
         ranked = key[order]
-        rank[order] = np.cumsum(np.append(True, ranked[1:] != ranked[:-1]))
+        rank[order] = np.cumsum(np.append(True, ranked[1:] != ranked[:-1]), dtype=np.int32)
         # ranks may overlap: those of ``have`` bytes here and ``step`` further on give ``have + step`` bytes
         step = min(have, LENGTH - have)
-        key = rank * (n + 1) + np.where(place + step <= ends, rank[np.minimum(place + step, n - 1)], 0)
+        np.multiply(rank, n + 1, out=key, dtype=np.int64)
+        key += np.where(place + step <= ends, rank[np.minimum(place + step, n - 1)], 0)
         have += step
 
 
@@ -315,7 +316,7 @@ def intervals(text: np.ndarray, order: np.ndarray) -> np.ndarray:
         place, lower, upper = place[real], lower[real], upper[real]
         low = np.sort(follow[place[prior[place] < lower]]).astype(np.int64)
         high = np.sort(follow[place[after[place] >= upper]]).astype(np.int64) + 1
-    return np.cumsum(common[:n] >= 0) - 1
+    return np.cumsum(common[:n] >= 0, dtype=np.int32) - 1
 
 
 def shared_sides(ids: np.ndarray, start: np.ndarray, size: np.ndarray, offset: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -344,6 +345,7 @@ def matched(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
         else:
             held.arrive(piece)
     ids, tags, begin, start, size, offset, text = held.all()
+    del held
     near = shared_sides(ids, start, size, offset, text)
     ids, tags, begin, start, size = ids[near], tags[near], begin[near], start[near], size[near]
     first, same = grouped(text, start, size, ids)
@@ -356,12 +358,13 @@ def matched(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
         whole = np.zeros(int(stops[-1]) + 1, np.uint16)
         own = ranges(stops - sizes, sizes)
         whole[own] = text[ranges(start[first], sizes)].astype(np.uint16) + 1
-        ends = np.repeat(stops, sizes + 1)
+        ends = np.repeat(stops.astype(np.int32), sizes + 1)
         order = suffix_order(whole, ends)
         label = intervals(whole, order)
-        doc = np.repeat(ids[first], sizes + 1)[order]
-        full = (ends - np.arange(len(whole)) >= LENGTH)[order]
-        doc_of = np.where(full, doc, np.iinfo(np.int64).max)
+        # documents by their place among all ids of the shard
+        doc = np.repeat(np.unique(ids[first], return_inverse=True)[1].astype(np.int32), sizes + 1)[order]
+        full = (ends - np.arange(len(whole), dtype=np.int32) >= LENGTH)[order]
+        doc_of = np.where(full, doc, np.iinfo(np.int32).max)
         least = np.minimum.reduceat(doc_of, np.flatnonzero(np.append(True, label[1:] != label[:-1])))[label]
         gone = np.zeros(len(whole) + 1, bool)
         gone[order] = full & (least < doc)
@@ -456,7 +459,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
     read = carried(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.coalesce("text", F.lit("")))
     again = read.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
     tagged = read.withColumn("tag", F.lit(0).cast("long") if again else F.xxhash64("text"))
-    spans = staged(spans_of(tagged.where("doc_id IS NOT NULL").select("doc_id", "tag", "text"), shard_bytes, fan), "repeats-spans")
+    with passing_shuffles(docs.sparkSession):
+        spans = staged(spans_of(tagged.where("doc_id IS NOT NULL").select("doc_id", "tag", "text"), shard_bytes, fan), "repeats-spans")
     spans = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     both = tagged.join(spans, ["doc_id", "tag"], "left")
     cutter = F.pandas_udf(without, "kept binary, removed array<struct<start:long,stop:long>>")
