@@ -476,4 +476,6 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s.stop - s.start)
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    return out.select("doc_id", n_bytes.alias("n_bytes"), gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    out = out.select("doc_id", n_bytes.alias("n_bytes"), gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    with passing_shuffles(spark):  # the texts were shuffled to their spans; the rows are short
+        return staged(out, "repeats-result")
