@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept; its result is written as Parquet and read again as the next
 one's ``docs``. All but the last return the columns of ``documents``.
+
+Null and blank texts fail the first stage. Of equal fingerprints one row stays, the
+one with the smallest id; repeated rows are separate until then. Very long texts
+are worked on whole in every stage. An empty table gives an empty result.
 """
 
 from __future__ import annotations

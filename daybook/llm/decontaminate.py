@@ -17,7 +17,8 @@ item under ``MIN_CHARS`` characters has no budget and must stand as whole
 words. Repeated items are reported with each of their ids, null ids included;
 repeated documents each have their own report. One report for an item and a
 document: the fewest edits, at the first such place, with the number of places
-found (overlapping places of one item count once).
+found (overlapping places of one item count once). A very long text is searched whole, in
+one pass of the automaton, in the task that reads it.
 """
 
 from __future__ import annotations

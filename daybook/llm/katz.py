@@ -31,7 +31,7 @@ counts with their words (``bigram``, by shard), backoff weights (``alpha``)
 and counts of counts (``total``).
 
 Defined results: a null or empty text has one token, its end. A null id teaches
-nothing and is not held out. Repeated rows count as separate documents. Without
+nothing and is not held out. Other columns, whatever their names, are not read. Repeated rows count as separate documents. Without
 any training document every score is 0 (one unseen word has all the mass).
 """
 

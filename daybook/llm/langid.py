@@ -15,8 +15,9 @@ profiles, ``RANKS`` n-grams a language, come to the driver and are broadcast;
 Defined results: a null text, or one without a letter, has language ``und``
 and score 0. Ties in count go to the smaller n-gram, ties in distance to the
 first language by name. Documents with a null language or text, or a null id,
-teach nothing; a null id is not held out. Nothing to learn from: every
-document is ``und``. Score: 1 less the distance as a part of the largest one.
+teach nothing; a null id is not held out. Repeated rows teach each
+time and get equal answers. A very long text is counted whole, in pieces of
+``CHUNK`` characters. Nothing to learn from: every document is ``und``. Score: 1 less the distance as a part of the largest one.
 """
 
 from __future__ import annotations

@@ -24,6 +24,7 @@ their first and last word are null and their score is 0. Score: 1 if a phrase
 stands in the text, else the greatest containment that reached the threshold.
 Capitals beyond ASCII count as their small letters in templates and blocks.
 Without templates only the phrases are found. Repeated rows give equal rows.
+A very long text is scanned whole, block by block.
 """
 
 from __future__ import annotations

@@ -26,6 +26,8 @@ Defined results: a text without words (null, empty, blank) has fingerprint
 zero and links like any other; a text with fewer words than a shingle is one
 shingle. ``component_id`` is the smallest non-null id of the class, null if
 none has one. Repeated rows share a class. Empty tables give no rows.
+A very long text is fingerprinted whole, in the task that reads it. Columns of the
+input keep their names; what the steps add is carried beside one struct of them.
 """
 
 from __future__ import annotations

@@ -2,14 +2,16 @@
 
 All DataFrame functions. Every distinct (host, path) is expanded once, into
 host suffixes x path prefixes of the lengths that the rules have, so a rule
-without a slash at its end is found like any other. The join key is the first
-32 bits of SHA-256 of the expression; the whole digest is compared after it.
+without a slash at its end is found like any other, and a host of thousands of
+labels has no more suffixes than the rules have labels. The join key is the first
+32 bits of SHA-256 of the expression alone; the whole digest is compared after it
+with the rules of that prefix.
 
 Defined results: a null url, or one without ``://``, has an empty host and an
 empty path and fits only rules with an empty host. Repeated urls are judged
 once and every row keeps its own verdict. Ties: the longest expression wins,
 then the longer host, then ``block`` before ``allow``; a rule given twice
-counts once. Without rules every row has the default verdict.
+counts once. Very long urls are judged whole. Without rules every row has the default verdict.
 """
 
 from __future__ import annotations
@@ -60,17 +62,19 @@ def judge(hosts: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     # at most as many numbers as the longest rule path has characters
     lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect())
     labels = F.split("host", "\\.")
+    # no rule has more labels than ``deepest``: longer suffixes of a host can't be one
+    deepest = rules.agg(F.max(F.size(F.split("rule_host", "\\.")))).first()[0] or 1
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+        F.sequence(F.greatest(F.lit(1), F.size(labels) - (deepest - 1)), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
     cuts = F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")
     prefixes = F.transform(F.filter(cuts, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
     expressions = hosts.withColumn("rule_host", F.explode(suffixes)).withColumn("rule_path", F.explode(prefixes))
-    right = _digested(rules).select(
-        F.col("key").alias("r_key"), F.col("digest").alias("r_digest"),
-        F.col("rule_host").alias("r_host"), F.col("rule_path").alias("r_path"), "verdict",
-    )
-    hits = _digested(expressions).join(right, (F.col("key") == F.col("r_key")) & (F.col("digest") == F.col("r_digest")))
+    # the join sees prefixes alone; a prefix's few rules come as a list, of which the whole digest picks
+    found = _digested(rules).withColumn("rule", F.struct("digest", F.col("rule_host").alias("r_host"), F.col("rule_path").alias("r_path"), "verdict"))
+    right = found.groupBy("key").agg(F.collect_list("rule").alias("candidates"))
+    near = _digested(expressions).join(right, "key")
+    hits = near.select("host", "path", F.inline(F.filter("candidates", lambda c: c["digest"] == F.col("digest"))))
     rank = F.struct(
         (F.length("r_host") + F.length("r_path")).alias("n"), F.length("r_host").alias("h"), "verdict",
         F.concat("r_host", "r_path").alias("rule"),

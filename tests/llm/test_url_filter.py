@@ -19,6 +19,7 @@ URLS = [
     None, "", "no scheme/en/", "http://a.COM", "http://a.com/", "https://example.com/en/1?x=/fr/", "http://www.EXAMPLE.com/en/9#a/b",
     "http://x.www.example.com/en/", "http://b.net/es/é", "http://b.net/ES/", "http://com/", "http://xcom/", "http://n.net?/es/",
     "http://b.net/fr/" + "y" * 5000, "http://a..com/x", "ftp://u@h.com:80/p://q", "http://b.net/fr\n/z", "http://a.com/", "://com/x",
+    "http://" + "a." * 4000 + "com/en/", "http://" + "b." * 3000 + "www.example.com/en/x",
 ]
 
 
