@@ -35,5 +35,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filter": url_filter.OP6_SQL,
         "op11_merkle": merkle.OP11_SQL,
         "op12_divergence": divergence.OP12_SQL,
+        "op13_suffix_dedup": suffix_dedup.OP13_SQL,
     }
     return {k: v for k, v in sql.items() if v is not None}

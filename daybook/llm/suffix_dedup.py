@@ -479,3 +479,23 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = out.select("doc_id", n_bytes.alias("n_bytes"), gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
     with passing_shuffles(spark):  # the texts were shuffled to their spans; the rows are short
         return staged(out, "repeats-result")
+
+
+OP13_SQL = """
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pieces AS (SELECT id, doc_id, length(h) // 2 AS n, 256 * k AS base, substr(h, 512 * k + 1, 610) AS piece
+           FROM (SELECT *, unnest(range(0, (length(h) // 2 + 255) // 256)) AS k FROM docs)),
+strings AS (SELECT id, doc_id, base + j AS i, substr(piece, 2 * j + 1, 100) AS s
+            FROM (SELECT *, unnest(range(0, least(256, n - base - 49))) AS j FROM pieces)),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM strings GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT id, i FROM strings JOIN firsts USING (s) WHERE first_id < doc_id),
+runs AS (SELECT id, i, sum(CASE WHEN i - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY i) AS run
+         FROM (SELECT *, lag(i) OVER (PARTITION BY id ORDER BY i) AS before FROM gone)),
+spans AS (SELECT id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY id, run),
+parts AS (SELECT s.*, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY id ORDER BY a), 0) + 1,
+                             2 * (a - coalesce(lag(b) OVER (PARTITION BY id ORDER BY a), 0))) AS kept FROM spans s JOIN docs USING (id)),
+sums AS (SELECT id, string_agg(kept, '' ORDER BY a) AS kept, max(b) AS last_b, sum(b - a) AS n_removed, count(*) AS n_spans FROM parts GROUP BY id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept || substr(h, 2 * last_b + 1), h))) AS kept_sha256
+FROM docs LEFT JOIN sums USING (id)
+"""
