@@ -71,7 +71,8 @@ def main() -> None:
     fitted, model = examples.load_minmax(spark, dataset), training.load(model_dir)
 
     def score_job():
-        noop(predict_plan.run_predict(spark, sales(), fitted, model, "2000-07-01", "2000-07-31").predictions)
+        with predict_plan.run_predict(spark, sales(), fitted, model, "2000-07-01", "2000-07-31") as done:
+            noop(done.predictions)
 
     def batch_job():
         prep = good_rows(prepare_samples(raw_samples(sales())))
