@@ -124,6 +124,7 @@ def validate_examples(df: DataFrame) -> DataFrame:
     and the first broken rule (spec order), NULL for valid rows.
     """
     check_schema(df)
+    # The texts of the messages
     sample_id = F.concat_ws("_", F.col("item_id"), F.col("year"), F.col("month"))
     cls, msg = None, None
     for f in spec.FEATURES:

@@ -20,7 +20,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def samples():
-    """The two literal raw samples (full month A, partial month B)."""
+    """Two raw samples of the input format (full month A, partial month B)."""
     a = {
         "item_number": "36904", "item_description": "Mccormick Vodka Pet", "cost": 1.76, "retail": 2.63,
         "volume_ml": 375, "pack_size": 24, "year_month": "2012-01",
