@@ -6,13 +6,13 @@ first day of the month (one consistent row, ``min_by`` on the date).
 
 Scale notes
 -----------
-* Lines are first summed by (item, date, description) with numeric buffers: a
-  hash aggregate with map-side partial sums, so a hot item or day is collapsed
-  in each map task, and no raw line is sorted (a string ``min`` there would make
-  it a sort-based aggregate).
-* The sums are dealt once by (item, month). Days are merged and months collected
-  from that one exchange; a group of it has at most 31 days times the
-  descriptions of one item, whatever the item's volume.
+* Lines are dealt once by (item, month), in the few columns that are used, and
+  every level is worked out from that one exchange.
+* They are first summed by (item, date, description) with numeric buffers: a
+  hash aggregate that takes the lines as they come, so no raw line is sorted (a
+  string ``min`` there would make it a sort-based aggregate) and a group that is
+  sorted or collected later has at most 31 days times the descriptions of one
+  item, whatever the item's volume.
 """
 
 from __future__ import annotations
@@ -50,13 +50,14 @@ def daily_parts(sales: DataFrame) -> DataFrame:
     """AGG-1, first level: sums and counts by (item, date, description); those of several loads can be added up."""
     sums = [F.sum(F.col(src).cast("double")).alias(f"s_{m}") for m, src in SOURCES.items()]
     counts = [F.count(src).alias(f"n_{m}") for m, src in SOURCES.items()]
-    parts = sales.groupBy("item_number", "date", "item_description").agg(*sums, *counts, F.sum("bottles_sold").alias("qty"))
-    return parts.withColumn("year_month", year_month())
+    dated = sales.withColumn("year_month", year_month()).repartition("item_number", "year_month")
+    parts = dated.groupBy("item_number", "year_month", "date", "item_description").agg(*sums, *counts, F.sum("bottles_sold").alias("qty"))
+    return parts.select(*[c for c in parts.columns if c != "year_month"], "year_month")
 
 
 def daily_of_parts(parts: DataFrame) -> DataFrame:
     """AGG-1, second level: one row per (item_number, date) with means and the day's total."""
-    return parts.repartition("item_number", "year_month").groupBy("item_number", "year_month", "date").agg(
+    return parts.groupBy("item_number", "year_month", "date").agg(
         F.min("item_description").alias("item_description"),
         *[F.try_divide(F.sum(f"s_{m}"), F.sum(f"n_{m}")).alias(m) for m in MEASURES],
         F.sum("qty").alias("daily_bottles_sold"),

@@ -61,7 +61,8 @@ def load_sales(sales: DataFrame, base: str, load: str) -> list[str | None]:
 
 def _rebuild(spark: SparkSession, base: str, like: DataFrame, months: list[str | None]) -> None:
     found = spark.read.schema(_schema(like, FOLDERS)).parquet(os.path.join(base, "parts")).where(_in(months))
-    _overwrite(monthly_sequences(daily_of_parts(found)), os.path.join(base, "samples"), ["year_month"])
+    dealt = found.repartition("item_number", "year_month")
+    _overwrite(monthly_sequences(daily_of_parts(dealt)), os.path.join(base, "samples"), ["year_month"])
 
 
 def samples(spark: SparkSession, base: str, months: list[str | None] | None = None) -> DataFrame:
