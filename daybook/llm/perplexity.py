@@ -2,20 +2,20 @@
 
 The model predicts a text's characters, in classes: capitals are one class,
 decimal digits another, every other character of the trusted text is one of
-its own, whatever its script, and those never seen there are one. Counts come from at most
-``TRUSTED_DOCS`` trusted documents (labelled good and not toxic; a bounded
-sample of labelled rows by hash of the id). Continuation counts, discounts and
+its own, whatever its script, and those never seen there are one. Counts come from all
+trusted documents (labelled good and not toxic). Continuation counts, discounts and
 interpolated probabilities are grouped counts and joins of tables sharded by
 n-gram. N-grams of the 64 most frequent classes are one dense table of 64 ** 4
 log-probabilities (64 MB), one look-up a character; where an n-gram has another
 class, its probability comes from sorted tables of all seen n-grams and contexts,
-the same model exactly. Both are broadcast; the sorted tables have at most
-``ORDER`` rows a character of the trusted sample, and none if 64 classes are all.
+the same model exactly. The seen n-grams are broadcast, and each worker fills its dense
+table from them; the sorted tables have at most
+``ORDER`` rows a distinct n-gram of the trusted text, and none if 64 classes are all.
 
 Scores, means and thresholds cover all documents: a document is kept if its
 perplexity is not above its language's threshold, the ``QUANTILE`` of that
 language's trusted documents, each judged by a model that has not seen it: the
-sample's halves by one counted on the other half, the others by the model itself. So
+two halves of the trusted text by one counted on the other half. So
 trusted text that nobody labelled is kept as often. Short texts say little, so ``SHRINK`` characters
 at the mean log-probability of the language's trusted text are added.
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import col, prepared_session, staged, table
 
-ORDER, BITS, TRUSTED_DOCS, QUANTILE, SHRINK = 4, 6, 5000, 0.998, 100
+ORDER, BITS, QUANTILE, SHRINK = 4, 6, 0.998, 100
 WIDE = 21  # bits of any class: three fit a long
 CAPITAL, DIGIT, OTHER, START = 0, 1, 2, 3
 FIRST = 4  # classes from here on are single characters
@@ -100,10 +100,13 @@ def frequent_characters(texts: DataFrame) -> list[int]:
     """The characters that are neither capitals nor digits, most frequent first."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(0x110000, np.int64)
         for batch in batches:
             for t in batch["text"]:
-                points, n = np.unique(code_points(t), return_counts=True)
-                yield pd.DataFrame({"c": points.astype(np.int64), "n": n})
+                points = code_points(t)
+                n[: int(points.max(initial=0)) + 1] += np.bincount(points)
+        seen = np.flatnonzero(n)
+        yield pd.DataFrame({"c": seen, "n": n[seen]})
 
     # one row a distinct character comes back
     rows = texts.mapInPandas(count, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").collect()
@@ -115,14 +118,24 @@ def counted(texts: DataFrame, classes: np.ndarray, order: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(classes)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
         for batch in batches:
             for t in batch["text"]:
                 symbol = shared.value[code_points(t)].astype(np.int64)
-                context = contexts_of(symbol, order)
-                at = np.lexsort((symbol, context))
-                symbol, context = symbol[at], context[at]
-                new = np.flatnonzero(np.concatenate(([True], (symbol[1:] != symbol[:-1]) | (context[1:] != context[:-1]))))
-                yield pd.DataFrame({"context": context[new], "symbol": symbol[new], "c": np.diff(np.append(new, len(symbol)))})
+                held.append((contexts_of(symbol, order), symbol))
+                size += len(symbol)
+                if size >= PIECE:
+                    yield distinct(held)
+                    held, size = [], 0
+        if held:
+            yield distinct(held)
+
+    def distinct(held: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        context, symbol = (np.concatenate(c) for c in zip(*held))
+        at = np.lexsort((symbol, context))
+        symbol, context = symbol[at], context[at]
+        new = np.flatnonzero(np.concatenate(([True], (symbol[1:] != symbol[:-1]) | (context[1:] != context[:-1]))))
+        return pd.DataFrame({"context": context[new], "symbol": symbol[new], "c": np.diff(np.append(new, len(symbol)))})
 
     return texts.mapInPandas(count, "context long, symbol long, c long").groupBy("context", "symbol").agg(F.sum("c").alias("c"))
 
@@ -176,26 +189,39 @@ class Table:
         without its first character.
         """
         size = 1 << BITS
-        self.order, self.vocabulary, self.levels = len(grams), vocabulary, []
-        level = np.full((1, size), 1.0 / vocabulary, np.float32)
+        self.order, self.vocabulary, self.levels, self.seen = len(grams), vocabulary, [], []
         for k, (seen, weights) in enumerate(zip(grams, contexts)):
             rows = weights.toPandas().sort_values("context")
             of, weight = rows["context"].to_numpy(np.int64), rows["g"].to_numpy()
             rows = seen.toPandas()
             context, symbol, p = rows["context"].to_numpy(np.int64), rows["symbol"].to_numpy(np.int64), rows["p"].to_numpy()
             code, fits = narrow(of, k)
-            g = np.ones(size**k, np.float32)
-            g[code[fits]] = weight[fits]
-            level = level[np.arange(len(g)) % len(level)]
-            level *= g[:, None]
-            code, fits = narrow(context, k)
-            fits &= symbol < size
-            level.reshape(-1)[(code << BITS | symbol)[fits]] = p[fits]
+            row, found = narrow(context, k)
+            found &= symbol < size
+            self.seen.append((code[fits], weight[fits], (row << BITS | symbol)[found], p[found]))
             if symbols > size:
                 key = np.searchsorted(of, context) << WIDE | symbol
                 at = np.argsort(key)
                 self.levels.append((of, weight.astype(np.float32), key[at], p[at].astype(np.float32)))
-        self.dense = np.log(level.reshape(-1))
+        self.dense = self.filled()
+
+    def filled(self) -> np.ndarray:
+        level = np.full((1, 1 << BITS), 1.0 / self.vocabulary, np.float32)
+        for k, (of, weight, at, p) in enumerate(self.seen):
+            g = np.ones((1 << BITS) ** k, np.float32)
+            g[of] = weight
+            level = level[np.arange(len(g)) % len(level)]
+            level *= g[:, None]
+            level.reshape(-1)[at] = p
+        return np.log(level.reshape(-1))
+
+    def __getstate__(self) -> dict:
+        """What is sent: the seen n-grams, of which the dense part is filled again."""
+        return {k: v for k, v in self.__dict__.items() if k != "dense"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.dense = self.filled()
 
     def __getitem__(self, code):
         return self.dense[code]
@@ -273,15 +299,14 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text",
-             lang: str = "lang", trusted_docs: int = TRUSTED_DOCS, quantile: float = QUANTILE) -> DataFrame:
+             lang: str = "lang", quantile: float = QUANTILE) -> DataFrame:
     """Append ``n_symbols``, ``perplexity``, ``threshold``, ``kept``; clashing input columns are replaced."""
     prepared_session(docs.sparkSession)
     made = ["n_symbols", "perplexity", "threshold", "kept"]
     own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
     rows = docs.select(F.struct(*[col(c) for c in own]).alias("row"), col(doc_id).alias("id"), col(text).alias("text"), col(lang).alias("lang"))
     trusted = staged(trusted_ids(labels), "trusted-ids")
-    sample = staged(trusted.orderBy(F.xxhash64("id"), "id").limit(trusted_docs), "trusted-sample")
-    taught = staged(rows.join(F.broadcast(sample), "id", "left_semi").select("id", "lang", "text", F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)).alias("half")), "trusted-texts")
+    taught = staged(rows.join(trusted, "id", "left_semi").select("id", "lang", "text", F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)).alias("half")), "trusted-texts")
     model = fit(taught.select("text"))
     rows = staged(scored(rows, model, "text", "lm").select("row", "id", "lang", "lm.*"), "perplexity")
     if model is None:
@@ -295,8 +320,7 @@ def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     shrunk = F.exp(-(F.col("log_p") + SHRINK * F.coalesce("mean", F.lit(all_mean))) / (F.col("n") + SHRINK))
     top = lambda: F.percentile_approx(shrunk, quantile, 10000)
     means = known.select("lang", "mean").distinct()
-    unseen = by_language(unseen_scores(taught, model).where("n > 0"), means).select("lang", "n", "log_p", "mean")
-    known = known.join(F.broadcast(sample), "id", "left_anti").select("lang", "n", "log_p", "mean").unionByName(unseen)
+    known = by_language(unseen_scores(taught, model).where("n > 0"), means)
     all_limit = known.agg(top()).first()[0]
     out = by_language(judged, known.groupBy("lang").agg(top().alias("limit")))
     perplexity, limit = F.when(F.col("n") > 0, shrunk), F.coalesce("limit", F.lit(all_limit))
@@ -305,7 +329,7 @@ def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
 
 
 def unseen_scores(taught: DataFrame, model: tuple) -> DataFrame:
-    """(lang, n, log_p) of the sample's documents, each half by the model of the other; by ``model`` if there is none."""
+    """(lang, n, log_p) of the trusted documents, each half by the model of the other; by ``model`` if there is none."""
     out = None
     for half in (0, 1):
         other = fit(taught.where(F.col("half") != half).select("text"))

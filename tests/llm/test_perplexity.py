@@ -134,3 +134,18 @@ def test_a_script_beyond_the_frequent_classes(spark):
 
 def test_codes():
     assert K.ngram_codes(np.array([5, 6], np.uint8)).tolist() == [(((3 << 6 | 3) << 6 | 3) << 6) | 5, (((3 << 6 | 3) << 6 | 5) << 6) | 6]
+
+
+def test_all_trusted_documents_are_counted(spark, monkeypatch):
+    """No document is left out of the model, however many are trusted; the dense table is not sent."""
+    import pickle
+
+    docs = spark.range(6000).selectExpr("id AS doc_id", "'plain words' AS text", "'en' AS lang")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    seen, fit = [], K.fit
+    monkeypatch.setattr(K, "fit", lambda texts, *a: (seen.append(texts.count()), fit(texts, *a))[1])
+    assert K.classify(docs, labels).where("kept").count() == 6000
+    assert seen[0] == 6000 and sum(seen[1:]) == 6000
+    _, table = fit(docs.limit(1))
+    sent = pickle.dumps(table)
+    assert len(sent) < 1 << 20 and (pickle.loads(sent).dense == table.dense).all()
