@@ -46,6 +46,10 @@ CAPITAL, DIGIT, OTHER, START = 0, 1, 2, 3
 FIRST = 4  # classes from here on are single characters
 PIECE = 1 << 20
 MAX_LANGUAGES = 10_000
+#: Bits of the bitmap that rows are looked up in: for each id, at most (16 MB), and in one row of it, as ``bitmap_construct_agg`` makes it.
+ID_BITS, MOST_BITS, BUCKET = 16, 1 << 27, 1 << 15
+#: So many ids that the bitmap lets through by mistake are broadcast.
+MOST_OTHERS = 1 << 20
 
 
 def class_of(frequent: list[int]) -> np.ndarray:
@@ -298,6 +302,25 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 AND toxic = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
 
 
+def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``id`` is among ``ids`` (column id, distinct): a semi-join that leaves the rows' texts where they are.
+
+    A bitmap of the ids' hashes, ``ID_BITS`` bits each and ``MOST_BITS`` at most, is broadcast. Of the ids that it lets
+    through, those that are not among ``ids`` after all are found by a join of ids alone, and their rows go.
+    """
+    if rows.schema["id"].dataType != ids.schema["id"].dataType:
+        return rows.join(ids, "id", "left_semi")
+    bits = min(MOST_BITS, max(BUCKET, ids.count() * ID_BITS))
+    place = F.pmod(F.xxhash64("id"), F.lit(bits))
+    bucket, bit = F.floor(place / BUCKET).alias("bucket"), (place % BUCKET).cast("int")
+    bitmaps = staged(ids.groupBy(bucket).agg(F.bitmap_construct_agg(bit.cast("long")).alias("bitmap")), "id-bitmaps")
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    known = rows.where("id IS NOT NULL").withColumn("bucket", bucket)
+    found = known.join(F.broadcast(bitmaps), "bucket").where(F.getbit(byte, bit % 8) == 1).select(*rows.columns)
+    others = staged(found.select("id").distinct().join(ids, "id", "left_anti"), "other-ids")
+    return found.join(F.broadcast(others) if others.count() <= MOST_OTHERS else others, "id", "left_anti")
+
+
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text",
              lang: str = "lang", quantile: float = QUANTILE) -> DataFrame:
     """Append ``n_symbols``, ``perplexity``, ``threshold``, ``kept``; clashing input columns are replaced."""
@@ -306,7 +329,8 @@ def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
     rows = docs.select(F.struct(*[col(c) for c in own]).alias("row"), col(doc_id).alias("id"), col(text).alias("text"), col(lang).alias("lang"))
     trusted = staged(trusted_ids(labels), "trusted-ids")
-    taught = staged(rows.join(trusted, "id", "left_semi").select("id", "lang", "text", F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)).alias("half")), "trusted-texts")
+    half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)).alias("half")
+    taught = staged(with_ids(rows.select("id", "lang", "text"), trusted).select("id", "lang", "text", half), "trusted-texts")
     model = fit(taught.select("text"))
     rows = staged(scored(rows, model, "text", "lm").select("row", "id", "lang", "lm.*"), "perplexity")
     if model is None:

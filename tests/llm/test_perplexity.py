@@ -149,3 +149,21 @@ def test_all_trusted_documents_are_counted(spark, monkeypatch):
     _, table = fit(docs.limit(1))
     sent = pickle.dumps(table)
     assert len(sent) < 1 << 20 and (pickle.loads(sent).dense == table.dense).all()
+
+
+def test_trusted_texts_are_taken_without_an_exchange_of_texts(spark):
+    rows = spark.range(-2000, 6000).selectExpr("id", "concat('text ', id) AS text")
+    rows = rows.unionByName(spark.createDataFrame([(None, "null"), (3, "again"), (3, "again")], "id long, text string"))
+    ids = spark.range(0, 5000, 3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        got = K.with_ids(rows, ids)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(ids, "id", "left_semi").collect()))
+    assert K.with_ids(rows, ids.where("id < 0")).count() == 0
+    text_ids = rows.selectExpr("cast(id AS string) AS id", "text")
+    assert K.with_ids(text_ids, ids).count() == got.count()
