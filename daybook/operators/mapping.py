@@ -78,11 +78,25 @@ class Outputs:
                 raise TypeError(f"{field.name}: {exc}") from exc
         return row
 
-    def __call__(self, record: Any, check: bool = True) -> list[list]:
+    def checked(self, rows: list[list], plain: bool) -> list[list]:
+        """``rows`` if all values fit: whole columns at once, and value by value only to name one that does not.
+
+        ``plain``: the values come back as their columns hold them, 5 for a long given as 5.0, and texts as ``str``."""
+        given = list(zip(*rows))
+        try:
+            columns = [pa.array(values, field.type) for values, field in zip(given, self.arrow)]
+        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+            return [self.check(row) for row in rows]
+        if not plain or not columns:
+            return rows
+        text = lambda values: [None if v is None else str(v) for v in values]
+        return list(zip(*[text(v) if pa.types.is_string(c.type) else c.to_pylist() for v, c in zip(given, columns)]))
+
+    def __call__(self, record: Any, check: bool = True, plain: bool = False) -> list[list]:
         try:
             found = self.fn(record)
             rows = [self.project(item) for item in (found if isinstance(found, list) else [found])]
-            rows = [self.check(row) for row in rows] if check else rows
+            rows = self.checked(rows, plain) if check else rows
         except Exception as exc:  # noqa: BLE001 - every failure is classified
             raw = record if isinstance(record, str) else json.dumps(record, default=str)
             return [[*self.empty, error_class_of(exc), str(exc), raw, 0]]

@@ -5,6 +5,9 @@
 
 One call takes one value and gives the function's results or one failed row, with the
 same error columns as ``mapping.map_and_quarantine``; Spark runs the calls in the executors' Python workers.
+
+With ``LATERAL`` Spark takes an Arrow batch for each call, which costs several times the
+call where it gives a few rows. So results of ``PLAIN`` types come as rows, many calls at a time.
 """
 
 from __future__ import annotations
@@ -20,16 +23,20 @@ from pyspark.sql.udtf import UserDefinedTableFunction
 from daybook.operators.mapping import ADDED, Outputs
 
 
+#: Types whose values come through a row as they are in the column.
+PLAIN = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.StringType, T.BooleanType, T.DateType)
+
+
 def table_function(fn: Callable[[Any], Any], schema: T.StructType) -> UserDefinedTableFunction:
     """A table function of one argument with the columns of ``schema`` and the error columns."""
-    outputs = Outputs(fn, schema)
+    outputs, plain = Outputs(fn, schema), all(isinstance(f.dataType, PLAIN) for f in schema.fields)
 
     class Mapped:
         def eval(self, value: Any) -> Iterator[tuple]:
-            for row in outputs(value):
+            for row in outputs(value, plain=plain):
                 yield tuple(row)
 
-    return F.udtf(Mapped, returnType=T.StructType([*schema.fields, *ADDED]), useArrow=True)
+    return F.udtf(Mapped, returnType=T.StructType([*schema.fields, *ADDED]), useArrow=not plain)
 
 
 def register_table_function(spark: SparkSession, name: str, fn: Callable[[Any], Any], schema: T.StructType) -> UserDefinedTableFunction:
