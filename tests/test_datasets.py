@@ -120,6 +120,40 @@ def test_table_function_is_the_map(spark):
     assert mapped.where("output = -1").count() == 1 and mapped.agg(F.max("n")).first()[0] == 2**63 - 1
 
 
+def test_plain_results_of_the_table_function_come_many_calls_at_a_time(spark):
+    def fn(k):
+        return [[{"n": 5.0, "t": "a"}, {"n": True, "t": None}], [], [{"n": 1, "t": "b"}, {"n": "c", "t": "c"}], {"n": None}][k % 4] if k < 4 else {"n": k, "t": str(k)}
+
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("t", T.StringType())])
+    register_table_function(spark, "plain_of", fn, schema)
+    called = spark.sql("SELECT l.k, q.* FROM {lines} l, LATERAL plain_of(l.k) q", lines=spark.range(6).toDF("k"))
+    plan = called._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPythonUDTF" in plan and "ArrowEvalPythonUDTF" not in plan
+    got = sorted((r.k, r.output, r.n, r.t, r.error_class) for r in called.collect())
+    assert got[0] == (0, 0, None, None, "TypeErrors")
+    assert got[1:] == [(1, -1, None, None, None), (2, 0, None, None, "TypeErrors"), (3, 0, None, None, None), (4, 0, 4, "4", None), (5, 0, 5, "5", None)]
+    whole = lambda k: [{"n": 5.0, "t": "a"}, {"n": k, "t": None}]
+    register_table_function(spark, "whole_of", whole, schema)
+    rows = spark.sql("SELECT q.n FROM {lines} l, LATERAL whole_of(l.k) q", lines=spark.range(1).toDF("k")).collect()
+    assert sorted(r.n for r in rows) == [0, 5]
+
+
+def test_published_rows_are_worked_out_once(spark, monkeypatch):
+    from daybook.plans import registry_jobs
+
+    seen, publish, conf = [], published.publish, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(conf)
+
+    def noted(df, *args):
+        seen.append(df.inputFiles())
+        return publish(df, *args)
+
+    monkeypatch.setattr(published, "publish", noted)
+    assert registry_jobs.q_published_examples(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(seen) == 2 and all(files and not any("lineitem" in f for f in files) for files in seen)
+    assert spark.conf.get(conf) == before
+
+
 def test_learned_vectors(spark, tmp_path):
     sign = lambda c: F.pmod(F.col(c), F.lit(2)) * 2 - 1
     rows = spark.range(1200).select((F.col("id") % 40).alias("item_id"), F.expr("id div 40 % 12").alias("month"), *[F.rand(3).alias(c) for c in training.NUMERIC])
