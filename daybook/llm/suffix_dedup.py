@@ -271,7 +271,7 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         key = key << 9 | np.where(place + step <= ends, text[at], 0)
     rank = np.empty(n, np.int32)
     while True:
-        order = np.argsort(key, kind="stable").astype(np.int32)
+        order = np.argsort(key).astype(np.int32)  # equal ones in any order: they have the same class
         if have >= LENGTH:
             return order
         ranked = key[order]
@@ -325,7 +325,7 @@ def shared_sides(ids: np.ndarray, start: np.ndarray, size: np.ndarray, offset: n
     whole = lambda at: digests(text, at, np.full(len(at), ANCHOR + SIDE))
     key = np.concatenate((whole((start + offset)[right]), ~whole((start + offset - SIDE)[left])))
     row = np.concatenate((right, left))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key, row = key[order], row[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
     found = np.zeros(len(ids), bool)

@@ -141,3 +141,18 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = plain(rows)
     assert sorted(got) == sorted(want) and sum(r[2] for r in want) > 10_000
+
+
+def test_order_of_equal_suffixes_is_free():
+    rnd = random.Random(9)
+    parts = rnd.choices(["ab" * 40, "a" * 90, "b" * 30 + "a" * 40, *("".join(rnd.choices("ab", k=60)) for _ in range(5))], k=40)
+    whole = np.frombuffer("\0".join([*parts, ""]).encode(), np.uint8).astype(np.uint16)
+    ends = np.repeat(np.flatnonzero(whole == 0), [len(p) + 1 for p in parts])
+    order = S.suffix_order(whole, ends)
+    prefix = [bytes(whole[i : min(i + L, ends[i])].astype(np.uint8)) for i in order]
+    assert prefix == sorted(prefix)
+    label = S.intervals(whole, order)
+    for _ in range(5):
+        key = {p: k for k, p in enumerate(sorted(set(prefix)))}
+        other = np.array([i for _, _, i in sorted((key[p], rnd.random(), int(i)) for p, i in zip(prefix, order))], np.int32)
+        assert (other != order).any() and (S.intervals(whole, other) == label).all()
