@@ -8,8 +8,9 @@ interpolated probabilities are grouped counts and joins of tables sharded by
 n-gram. N-grams of the 64 most frequent classes are one dense table of 64 ** 4
 log-probabilities (64 MB), one look-up a character; where an n-gram has another
 class, its probability comes from sorted tables of all seen n-grams and contexts,
-the same model exactly. The seen n-grams are broadcast, and each worker fills its dense
-table from them; the sorted tables have at most
+the same model exactly. The seen n-grams come to the driver as Arrow columns and are broadcast,
+and each worker fills its dense
+table from them, the driver none; the sorted tables have at most
 ``ORDER`` rows a distinct n-gram of the trusted text, and none if 64 classes are all.
 
 Scores, means and thresholds cover all documents: a document is kept if its
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -100,6 +102,11 @@ def narrow(context: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out, fits
 
 
+def columns(df: DataFrame) -> list[np.ndarray]:
+    """The columns of ``df``, of numbers without nulls, on the driver: 8 or 4 bytes a value, no Python object for each."""
+    return [c.to_numpy() for c in df.toArrow().columns]
+
+
 def frequent_characters(texts: DataFrame) -> list[int]:
     """The characters that are neither capitals nor digits, most frequent first."""
 
@@ -113,8 +120,8 @@ def frequent_characters(texts: DataFrame) -> list[int]:
         yield pd.DataFrame({"c": seen, "n": n[seen]})
 
     # one row a distinct character comes back
-    rows = texts.mapInPandas(count, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").collect()
-    return [r.c for r in rows if unicodedata.category(chr(r.c)) not in ("Lu", "Nd")]
+    found, _ = columns(texts.mapInPandas(count, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c"))
+    return [c for c in found.tolist() if unicodedata.category(chr(c)) not in ("Lu", "Nd")]
 
 
 def counted(texts: DataFrame, classes: np.ndarray, order: int) -> DataFrame:
@@ -195,21 +202,22 @@ class Table:
         size = 1 << BITS
         self.order, self.vocabulary, self.levels, self.seen = len(grams), vocabulary, [], []
         for k, (seen, weights) in enumerate(zip(grams, contexts)):
-            rows = weights.toPandas().sort_values("context")
-            of, weight = rows["context"].to_numpy(np.int64), rows["g"].to_numpy()
-            rows = seen.toPandas()
-            context, symbol, p = rows["context"].to_numpy(np.int64), rows["symbol"].to_numpy(np.int64), rows["p"].to_numpy()
+            of, weight = columns(weights.select("context", F.col("g").cast("float")))
+            at = np.argsort(of)
+            of, weight = of[at], weight[at]
+            context, symbol, p = columns(seen.select("context", "symbol", F.col("p").cast("float")))
             code, fits = narrow(of, k)
             row, found = narrow(context, k)
             found &= symbol < size
-            self.seen.append((code[fits], weight[fits], (row << BITS | symbol)[found], p[found]))
+            self.seen.append((code[fits].astype(np.int32), weight[fits], (row << BITS | symbol)[found].astype(np.int32), p[found]))
             if symbols > size:
                 key = np.searchsorted(of, context) << WIDE | symbol
                 at = np.argsort(key)
-                self.levels.append((of, weight.astype(np.float32), key[at], p[at].astype(np.float32)))
-        self.dense = self.filled()
+                self.levels.append((of, weight, key[at], p[at]))
 
-    def filled(self) -> np.ndarray:
+    @cached_property
+    def dense(self) -> np.ndarray:
+        """Filled where texts are scored: 64 MB in a worker, and none on the driver, which only sends the model."""
         level = np.full((1, 1 << BITS), 1.0 / self.vocabulary, np.float32)
         for k, (of, weight, at, p) in enumerate(self.seen):
             g = np.ones((1 << BITS) ** k, np.float32)
@@ -217,16 +225,13 @@ class Table:
             level = level[np.arange(len(g)) % len(level)]
             level *= g[:, None]
             level.reshape(-1)[at] = p
-        return np.log(level.reshape(-1))
+        level = level.reshape(-1)
+        return np.log(level, out=level)
 
     def __getstate__(self) -> dict:
         """What is sent: the seen n-grams, of which the dense part is filled again."""
         return {k: v for k, v in self.__dict__.items() if k != "dense"}
 
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.dense = self.filled()
-
     def __getitem__(self, code):
         return self.dense[code]
 
@@ -356,8 +361,9 @@ def unseen_scores(taught: DataFrame, model: tuple) -> DataFrame:
     """(lang, n, log_p) of the trusted documents, each half by the model of the other; by ``model`` if there is none."""
     out = None
     for half in (0, 1):
-        other = fit(taught.where(F.col("half") != half).select("text"))
-        part = scored(taught.where(F.col("half") == half).select("lang", "text"), other or model, "text", "lm").select("lang", "lm.n", "lm.log_p")
+        other = fit(taught.where(F.col("half") != half).select("text")) or model
+        part = scored(taught.where(F.col("half") == half).select("lang", "text"), other, "text", "lm").select("lang", "lm.n", "lm.log_p")
+        del other  # the driver need not hold it while the next is made
         out = part if out is None else out.unionByName(part)
     return staged(out, "unseen-scores")
 

@@ -167,3 +167,18 @@ def test_trusted_texts_are_taken_without_an_exchange_of_texts(spark):
     assert K.with_ids(rows, ids.where("id < 0")).count() == 0
     text_ids = rows.selectExpr("cast(id AS string) AS id", "text")
     assert K.with_ids(text_ids, ids).count() == got.count()
+
+
+def test_the_driver_holds_no_dense_table(spark):
+    """The model takes less than 64 MB there, also while it is made; only who scores fills the table."""
+    import tracemalloc
+
+    texts = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+    tracemalloc.start()
+    try:
+        _, table = K.fit(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 4 * 64**K.ORDER and "dense" not in vars(table)
+    assert len(table.dense) == 64**K.ORDER and "dense" in vars(table)
