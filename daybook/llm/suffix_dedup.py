@@ -9,7 +9,9 @@ neighbouring strings with the same anchor form one segment, about twenty
 strings long, and go to the shard of the anchor's hash. Within a batch of text an equal
 segment is sent once, for its least document; later documents' copies are
 known to go whole and are sent along as spans. So a passage that stands in any
-number of documents comes once a batch.
+number of documents comes once a batch. Several neighbouring shards share a key of the
+exchange, their rows in order of the shards, and the task that gets the key matches
+one of them after the other: the text is moved once, however many shards there are.
 
 Matching, shard by shard. Segments that share no anchor with ``SIDE`` bytes more on
 either side with another one can share no string of ``LENGTH`` and are left out;
@@ -25,7 +27,8 @@ least document of each interval decides which strings go.
 Spans are joined to the texts by id; where ids repeat, by id and hash of the text.
 
 Bounds: a task cuts ``CHUNK`` bytes at a time and sends what ``BATCH`` bytes
-gave; shards grow with the input, at ``SHARD`` bytes of text each.
+gave; shards grow with the input, at ``SHARD`` bytes of text each, and up to ``WIDTH``
+of them have a key. Above ``FAN`` keys (about 60 GB of text) the pieces are moved in rounds.
 
 Defined results: null text is empty; a text shorter than ``LENGTH`` loses nothing.
 A null id is smaller than no other and larger than none: its document stays
@@ -37,6 +40,7 @@ are kept, and those that clash with a result's are replaced.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,8 +59,10 @@ CHUNK, BATCH, SHARD = 1 << 21, 10 << 20, 3 << 19
 PIECE = "key long, batch long, piece binary"
 SPAN = "doc_id long, tag long, start long, stop long"
 RESULTS = ("removed", "kept")
-#: A task sends pieces to so many keys at most; with more shards it takes several rounds. A shard is hot at so many times the mean.
-FAN, HOT = 1024, 8
+#: A task sends pieces to so many keys at most; with more keys it takes several rounds. A key has so many shards at most, and
+#: only one while there are less than a quarter of ``FAN``. A shard is hot at so many times the mean.
+FAN, WIDTH, HOT = 4096, 10, 8
+CODEC = pa.Codec("zstd", compression_level=1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -137,19 +143,37 @@ def grouped(text: np.ndarray, start: np.ndarray, size: np.ndarray, doc: np.ndarr
 
 
 def packed(*columns: np.ndarray) -> bytes:
-    """Columns as one compressed Arrow message, each in the smallest type that holds it."""
+    """Columns, each in the smallest type that holds it and compressed by itself, behind a head of nine bytes a column: many pieces are small."""
     small = [c if c.dtype == np.uint8 or c.min(initial=0) < 0 else c.astype(np.min_scalar_type(c.max(initial=0))) for c in columns]
-    batch = pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.large_binary()) for c in small], names=[c.dtype.str for c in small])
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+    whole = [c.tobytes() for c in small]
+    body = [min(w, CODEC.compress(w, asbytes=True), key=len) for w in whole]
+    head = [struct.pack("<cII", c.dtype.char.encode(), len(w), len(z)) for c, w, z in zip(small, whole, body)]
+    return b"".join((bytes([len(columns)]), *head, *body))
+
+
+def opened(piece: pa.Buffer) -> list[np.ndarray]:
+    """The columns of a piece in their small types."""
+    n, out = memoryview(piece)[0], []
+    at = 1 + 9 * n
+    for kind, whole, size in struct.iter_unpack("<cII", memoryview(piece)[1:at]):
+        body = piece.slice(at, size)
+        out.append(np.frombuffer(body if size == whole else CODEC.decompress(body, whole), np.dtype(kind.decode())))
+        at += size
+    return out
 
 
-def unpacked(piece: bytes) -> list[np.ndarray]:
-    batch = pa.ipc.open_stream(piece).read_next_batch()
-    arrays = [np.frombuffer(c[0].as_buffer(), np.dtype(n)) for n, c in zip(batch.schema.names, batch.columns)]
-    return [a if a.dtype == np.uint8 and k == len(arrays) - 1 else a.astype(np.int64) for k, a in enumerate(arrays)]
+def parts(columns: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """A piece's columns for each shard of its key."""
+    *rows, segment, size, offset, counts, text = columns
+    ends = np.cumsum(counts, dtype=np.int64)
+    # up to these places in the rows, the segments and the text
+    upto = np.append(0, np.where(ends > 0, segment[ends - 1].astype(np.int64) + 1, 0))
+    places = np.append(0, np.cumsum(size, dtype=np.int64))[upto]
+    row = [slice(a, b) for a, b in zip(np.append(0, ends[:-1]), ends)]
+    return [
+        [*[c[r] for c in rows], segment[r].astype(np.int64) - a, size[a:b], offset[a:b], text[x:y]]
+        for r, a, b, x, y in zip(row, upto, upto[1:], places, places[1:])
+    ]
 
 
 class Segments:
@@ -173,11 +197,14 @@ class Segments:
         begin = np.array(begins, np.int64)[part] + start - (stops - [len(t) for t in texts])[part]
         self.add(np.array(ids, np.int64)[part], np.array(tags, np.int64)[part], begin, start, size, anchor - start, text[:-8])
 
-    def arrive(self, piece: bytes) -> None:
-        ids, tags, begin, segment, size, offset, text = unpacked(piece)
-        start = np.cumsum(size) - size
+    def arrive(self, *columns: np.ndarray) -> None:
+        ids, tags, begin, segment, size, offset = (c.astype(np.int64) for c in columns[:-1])
+        text, start = columns[-1], np.cumsum(size) - size
         self.add(ids, tags, begin, start[segment], size[segment], offset[segment], text)
 
+    def clear(self) -> None:
+        self.rows, self.texts = [], []
+
     def all(self) -> tuple[np.ndarray, ...]:
         """(ids, tags, begin, start, size, offset) and the text, with eight spare bytes."""
         columns = [np.concatenate(c) if c else np.empty(0, np.int64) for c in (zip(*self.rows) if self.rows else [()] * 6)]
@@ -204,7 +231,9 @@ def joined(ids: np.ndarray, tags: np.ndarray, begin: np.ndarray, size: np.ndarra
 
 
 def sent(held: Segments, batch: int, shards: int, width: int, hot: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """Pieces (key, batch, bytes): each segment once, for its least document, to the key of its shard; and later documents' copies as spans."""
+    """Pieces (key, batch, bytes): each segment once, for its least document, to the key of its shard; and later documents' copies as spans.
+
+    A key has ``width`` shards. Where these are few enough to be matched in one task, a piece has its rows by shard and their numbers."""
     ids, tags, begin, start, size, offset, text = held.all()
     if not len(ids):
         return
@@ -223,14 +252,15 @@ def sent(held: Segments, batch: int, shards: int, width: int, hot: np.ndarray) -
     if copies.any():
         yield batch % shards // width, batch, packed(*joined(ids[copies], tags[copies], begin[copies], size[copies]))
     own = np.flatnonzero(~copies)
-    own = own[np.lexsort((same[own], shard[own] // width))]
+    own = own[np.lexsort((same[own], shard[own]))]
     key = shard[own] // width
     cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     for a, b in zip(cuts, [*cuts[1:], len(own)]):
         rows = own[a:b]
         new = np.append(True, same[rows][1:] != same[rows][:-1])
         f = rows[new]
-        yield int(key[a]), batch, packed(ids[rows], tags[rows], begin[rows], np.cumsum(new) - 1, size[f], offset[f], text[ranges(start[f], size[f])])
+        counts = np.bincount(shard[rows] - key[a] * width, minlength=width) if width <= WIDTH else np.empty(0, np.int64)
+        yield int(key[a]), batch, packed(ids[rows], tags[rows], begin[rows], np.cumsum(new) - 1, size[f], offset[f], counts, text[ranges(start[f], size[f])])
 
 
 def batches_of(rows: Iterator[pa.RecordBatch]) -> Iterator[Segments]:
@@ -336,16 +366,11 @@ def shared_sides(ids: np.ndarray, start: np.ndarray, size: np.ndarray, offset: n
     return found
 
 
-def matched(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Spans (ids, tags, start, stop) to remove, from all pieces of a shard."""
-    held, spans = Segments(), []
-    for piece in pieces:
-        if len(pa.ipc.open_stream(piece).schema) == 4:
-            spans.append(unpacked_spans(piece))
-        else:
-            held.arrive(piece)
+def matched(held: Segments) -> tuple[np.ndarray, ...]:
+    """Spans (ids, tags, start, stop) to remove, from all segments of a shard; they may overlap."""
+    spans = []
     ids, tags, begin, start, size, offset, text = held.all()
-    del held
+    held.clear()
     near = shared_sides(ids, start, size, offset, text)
     ids, tags, begin, start, size = ids[near], tags[near], begin[near], start[near], size[near]
     first, same = grouped(text, start, size, ids)
@@ -378,14 +403,31 @@ def matched(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
         rows, runs = np.repeat(keep, count[same[keep]]), ranges(at[same[keep]], count[same[keep]])
         shift = begin[rows] - (stops - sizes)[same[rows]]
         spans.append((ids[rows], tags[rows], a[runs] + shift, b[runs] + shift))
+    return whole_spans(spans)
+
+
+def whole_spans(spans: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Spans from several places in one, those that touch joined."""
     if not spans:
         return (np.empty(0, np.int64),) * 4
-    ids, tags, a, b = (np.concatenate(c) for c in zip(*spans))
+    ids, tags, a, b = (np.concatenate(c).astype(np.int64) for c in zip(*spans))
     return joined(ids, tags, a, b - a)
 
 
-def unpacked_spans(piece: bytes) -> tuple[np.ndarray, ...]:
-    return tuple(c.astype(np.int64) for c in unpacked(piece))
+def matched_key(pieces: list[pa.Buffer], width: int) -> tuple[np.ndarray, ...]:
+    """Spans to remove from all pieces of a key, matched shard by shard."""
+    found = [opened(p) for p in pieces]
+    spans = [tuple(c) for c in found if len(c) == 4]
+    shards = [parts(c) for c in found if len(c) > 4]
+    del found
+    for k in range(width):
+        held = Segments()
+        for of in shards:
+            held.arrive(*of[k])
+            of[k] = None
+        if held.size:
+            spans.append(matched(held))
+    return whole_spans(spans)
 
 
 def spans_of(docs: DataFrame, shard_bytes: int = SHARD, fan: int = FAN) -> DataFrame:
@@ -393,7 +435,7 @@ def spans_of(docs: DataFrame, shard_bytes: int = SHARD, fan: int = FAN) -> DataF
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
-    widths = [1]
+    widths = [min(WIDTH, -(-shards // max(1, fan // 4)))]
     while shards / widths[0] > fan:
         widths.insert(0, widths[0] * fan)
 
@@ -413,17 +455,18 @@ def spans_of(docs: DataFrame, shard_bytes: int = SHARD, fan: int = FAN) -> DataF
         def run(key: tuple, rows: pa.Table) -> pa.Table:
             held, out = Segments(), []
             for batch, piece in zip(rows["batch"].to_pylist(), rows["piece"]):
-                if len(pa.ipc.open_stream(piece.as_buffer()).schema) == 4:
+                columns = opened(piece.as_buffer())
+                if len(columns) == 4:
                     out.append((batch % shards // width, batch, piece.as_py()))
                 else:
-                    held.arrive(piece.as_buffer())
+                    held.arrive(*columns[:6], columns[-1])
             out += sent(held, rows["batch"][0].as_py(), shards, width, hot)
             return pa.Table.from_batches([pieces_table(out)])
 
         return run
 
     def match(key: tuple, rows: pa.Table) -> pa.Table:
-        found = matched([p.as_buffer() for p in rows["piece"]])
+        found = matched_key([p.as_buffer() for p in rows["piece"]], widths[-1])
         return pa.table(dict(zip(["doc_id", "tag", "start", "stop"], found)))
 
     counted = staged(docs.mapInArrow(count, "shard long, n long").groupBy("shard").agg(F.sum("n").alias("n")), "repeats-shards")

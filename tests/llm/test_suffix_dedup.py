@@ -103,6 +103,36 @@ def _batch(rows):
     return pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "tag": [0] * len(rows), "text": [r[1] for r in rows]})
 
 
+def test_many_shards_are_moved_once(spark):
+    """More shards than the keys of one exchange: several share a key, so that no text is moved a second time."""
+    rows = corpus(120)
+    docs = spark.createDataFrame([(i, 0, t or "") for i, t in rows if i is not None], "doc_id long, tag long, text string")
+    plan = S.spans_of(docs, shard_bytes=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert docs.selectExpr("sum(octet_length(text))").first()[0] / 4 > 2 * 1024
+    assert plan.count("FlatMapGroupsInArrow") == 1
+    assert run(spark, rows, shard_bytes=4) == sorted(plain(rows), key=key)
+
+
+def test_parts_of_a_piece_are_its_shards():
+    rnd = random.Random(3)
+    texts = [np.frombuffer("".join(rnd.choices("abcdefgh ", k=900)).encode(), np.uint8) for _ in range(4)]
+    held, none = S.Segments(), np.empty(0, np.int64)
+    held.cut([*texts, texts[0]], [5, 6, 7, 8, 5], [0] * 5, [0, 0, 0, 0, 1000])
+    ids, _, begin, start, size, offset, text = held.all()
+    shard, strings = S.shard_of(text, start, offset, 40), lambda i, b, s, n, t: (int(i), int(b), bytes(t[s : s + n]))
+    want = {k: sorted(strings(*r, text) for r in zip(*(c[shard == k] for c in (ids, begin, start, size)))) for k in range(40)}
+    got = {k: [] for k in range(40)}
+    for key_, _, piece in S.sent(held, 0, 40, 7, none):
+        columns = S.opened(S.pa.py_buffer(piece))
+        assert len(columns) == 8
+        for k, part in enumerate(S.parts(columns)):
+            of = S.Segments()
+            of.arrive(*part)
+            i, _, b, s, n, _, t = of.all()
+            got.setdefault(7 * key_ + k, []).extend(strings(*r, t) for r in zip(i, b, s, n))
+    assert {k: sorted(v) for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
+
+
 def test_empty(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, "short"), (2, None)]) == sorted(plain([(1, "short"), (2, None)]), key=key)
